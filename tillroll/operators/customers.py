@@ -13,7 +13,6 @@ from tillroll.operators.tiles import add_tiles
 from tillroll.runtime import cut
 from tillroll.schema import MONEY
 
-_R, _F, _M = F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
 _SCORES = {"R_Score": ("Recency", True), "F_Score": ("Frequency", False), "M_Score": ("Monetary", False)}
 _BUYER = ("CustomerID", "Country")
 
@@ -47,6 +46,10 @@ CLUSTER_COLUMNS = (
 )
 
 
+def _scores() -> tuple[Column, Column, Column]:
+    return F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
+
+
 def _first_match(rungs: Sequence[tuple[Column, str]], otherwise: str) -> Column:
     """Label of the first condition that holds."""
     label = F.lit(otherwise)
@@ -57,13 +60,14 @@ def _first_match(rungs: Sequence[tuple[Column, str]], otherwise: str) -> Column:
 
 def six_label_segment() -> Column:
     """Ladder of the ledger and member variants."""
+    r, f, m = _scores()
     return _first_match(
         [
-            ((_R >= 4) & (_F >= 4) & (_M >= 4), "Champions"),
-            ((_R >= 3) & (_F >= 3) & (_M >= 3), "Loyal Customers"),
-            ((_R >= 4) & (_F <= 2), "New Customers"),
-            ((_R <= 2) & (_F >= 3), "At Risk"),
-            ((_R <= 2) & (_F <= 2) & (_M <= 2), "Lost"),
+            ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
+            ((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers"),
+            ((r >= 4) & (f <= 2), "New Customers"),
+            ((r <= 2) & (f >= 3), "At Risk"),
+            ((r <= 2) & (f <= 2) & (m <= 2), "Lost"),
         ],
         "Regular",
     )
@@ -71,15 +75,16 @@ def six_label_segment() -> Column:
 
 def eight_label_segment() -> Column:
     """Ladder of the shopper variant."""
+    r, f, m = _scores()
     return _first_match(
         [
-            ((_R >= 4) & (_F >= 4) & (_M >= 4), "Champions"),
-            ((_R >= 4) & (_F >= 3), "Loyal Customers"),
-            ((_R >= 4) & (_F <= 2), "New Customers"),
-            ((_R <= 2) & (_F >= 4) & (_M >= 4), "At Risk"),
-            ((_R <= 2) & (_F <= 2), "Lost Customers"),
-            ((_R >= 3) & (_M >= 4), "Big Spenders"),
-            ((_R <= 2) & (_F >= 3), "Hibernating"),
+            ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
+            ((r >= 4) & (f >= 3), "Loyal Customers"),
+            ((r >= 4) & (f <= 2), "New Customers"),
+            ((r <= 2) & (f >= 4) & (m >= 4), "At Risk"),
+            ((r <= 2) & (f <= 2), "Lost Customers"),
+            ((r >= 3) & (m >= 4), "Big Spenders"),
+            ((r <= 2) & (f >= 3), "Hibernating"),
         ],
         "Regular",
     )
@@ -87,14 +92,15 @@ def eight_label_segment() -> Column:
 
 def documented_segment() -> Column:
     """The documented ladder with Potential Loyalist and Recent Customers (X6). High is 4 or 5, low is 1 or 2."""
+    r, f, m = _scores()
     return _first_match(
         [
-            ((_R >= 4) & (_F >= 4) & (_M >= 4), "Champions"),
-            ((_R >= 4) & (_F <= 2) & (_M >= 4), "Potential Loyalist"),
-            ((_F >= 4) & (_M >= 4), "Loyal Customers"),
-            (_R >= 4, "Recent Customers"),
-            ((_R <= 2) & (_F >= 4), "At Risk"),
-            ((_R <= 2) & (_F <= 2) & (_M <= 2), "Lost"),
+            ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
+            ((r >= 4) & (f <= 2) & (m >= 4), "Potential Loyalist"),
+            ((f >= 4) & (m >= 4), "Loyal Customers"),
+            (r >= 4, "Recent Customers"),
+            ((r <= 2) & (f >= 4), "At Risk"),
+            ((r <= 2) & (f <= 2) & (m <= 2), "Lost"),
         ],
         "Regular",
     )
@@ -136,8 +142,8 @@ def rfm_by_invoices(frame: DataFrame) -> DataFrame:
     scored = add_tiles(buyers.withColumn("Recency", days).drop("LastPurchase"), _SCORES, _BUYER)
     return scored.withColumns(
         {
-            "RFM_Score": _R + _F + _M,
-            "RFM_Segment": C.score_digits(_R, _F, _M),
+            "RFM_Score": sum(_scores(), F.lit(0)),
+            "RFM_Segment": C.score_digits(*_scores()),
             "CustomerSegment": six_label_segment(),
             "Monetary": F.col("Monetary").cast("double"),
         }
@@ -201,7 +207,7 @@ def shopper_base(lines: DataFrame, min_invoices: int = 2) -> DataFrame:
 
 def shopper_scores(base: DataFrame) -> DataFrame:
     """Scores 1-5 per metric and their sum."""
-    return add_tiles(base, _SCORES, ("CustomerID",)).withColumn("RFM_Score", _R + _F + _M)
+    return add_tiles(base, _SCORES, ("CustomerID",)).withColumn("RFM_Score", sum(_scores(), F.lit(0)))
 
 
 def shopper_segments(scored: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
+from tillroll.runtime import cut
 
 _PRODUCT = ("StockCode", "Description")
 
@@ -31,8 +32,12 @@ def descriptions(lines: DataFrame, codes: DataFrame | None = None) -> DataFrame:
 
 
 def _described(top: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add descriptions to a ranking. Both sides are at most as long as the ranking, so broadcasting is safe."""
-    return top.join(F.broadcast(descriptions(lines, top)), "StockCode", "left")
+    """Add descriptions to a ranking of fixed length, which bounds what is broadcast.
+
+    The ranking is written out first: it is needed twice, and each time would aggregate all lines.
+    """
+    short = cut(top)
+    return short.join(F.broadcast(descriptions(lines, short)), "StockCode", "left")
 
 
 def per_product(lines: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from tillroll.functions import columns as C
 from tillroll.schema import MONEY
 
 PER_PAGE = 20
-_EVERYTHING = Window.partitionBy()
 
 
 def _ranked(rows: DataFrame, *order: str | Column, name: str = "Rank", start: int = 0) -> DataFrame:
@@ -139,7 +138,7 @@ def hourly_view(hourly: DataFrame) -> DataFrame:
 def countries_view(countries: DataFrame) -> DataFrame:
     """Countries by revenue with rank and share of the total."""
     order = (F.desc("TotalRevenue"), "Country")
-    total = F.sum(F.col("TotalRevenue").cast(MONEY)).over(_EVERYTHING)
+    total = F.sum(F.col("TotalRevenue").cast(MONEY)).over(Window.partitionBy())
     shared = countries.withColumn("SharePercent", C.percent(F.col("TotalRevenue"), total))
     return _ranked(shared, *order).orderBy("Rank")
 
@@ -156,13 +155,13 @@ def country_totals(countries: DataFrame) -> DataFrame:
 def segment_counts(customers: DataFrame) -> DataFrame:
     """Customers per segment with their share, largest first."""
     counted = customers.groupBy("Segment").agg(F.count("*").alias("CustomerCount"))
-    share = C.percent(F.col("CustomerCount"), F.sum("CustomerCount").over(_EVERYTHING))
+    share = C.percent(F.col("CustomerCount"), F.sum("CustomerCount").over(Window.partitionBy()))
     return counted.withColumn("SharePercent", share).orderBy(F.desc("CustomerCount"), "Segment")
 
 
 def segment_view(statistics: DataFrame) -> DataFrame:
     """Segment statistics with badge and share of revenue (V7)."""
-    total = F.sum(F.col("TotalRevenue").cast(MONEY)).over(_EVERYTHING)
+    total = F.sum(F.col("TotalRevenue").cast(MONEY)).over(Window.partitionBy())
     return statistics.withColumns(
         {
             "Badge": C.slug(F.col("Segment")),
@@ -220,7 +219,7 @@ def hour_histogram(by_hour: DataFrame) -> DataFrame:
     """All 24 hours with zero where nothing was sold, and a mark on the highest."""
     slots = by_hour.sparkSession.range(24).select(F.col("id").cast("int").alias("Hour"))
     filled = slots.join(by_hour, "Hour", "left").withColumn("Invoices", F.coalesce("Invoices", F.lit(0)))
-    highest = F.max("Invoices").over(_EVERYTHING)
+    highest = F.max("Invoices").over(Window.partitionBy())
     return filled.select(
         "Hour", C.hour_label(F.col("Hour")).alias("Label"), "Invoices", (F.col("Invoices") == highest).alias("Peak")
     ).orderBy("Hour")
