@@ -11,9 +11,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tillroll-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "checkpoints"))
