@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_own_folder: str | None = None
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; local sessions without one get a fresh temporary folder.
 
-    On a cluster the folder has to be shared storage named by ``spark.checkpoint.dir``, so a missing
-    setting is an error there.
+def _local_folder() -> str:
+    """One temporary folder per process, removed when the process ends."""
+    global _own_folder
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="tillroll-")
+        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
+    return _own_folder
+
+
+def cut_folder(spark: SparkSession) -> str:
+    """Folder for intermediates of this application, below ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a temporary folder. On a cluster the folder has to be storage that
+    every executor reaches, so a missing setting is an error there.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tillroll-checkpoint-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+        shared = _local_folder()
+    return f"{shared.rstrip('/')}/tillroll-{context.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder, so later steps start from files that outlive executors."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, write it as a table and go on from the table.
+
+    The files outlive executors, later steps read only the columns they need, and the planner knows their size.
+    """
+    path = f"{cut_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
