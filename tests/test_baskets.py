@@ -67,8 +67,7 @@ def test_repeated_lines_multiply(spark):
     assert baskets.pair_frequencies(frame(spark, [("1", "aabbb"), ("2", "ab")]), more_than=7).isEmpty()
 
 
-@pytest.mark.parametrize("more_than", [0, 1, 3, 8])
-@pytest.mark.parametrize("wide_basket", [2, 5, 1000])
+@pytest.mark.parametrize(("more_than", "wide_basket"), [(0, 5), (1, 2), (3, 5), (8, 2), (8, 1000)])
 def test_pairs_equal_brute_force_with_one_invoice_holding_a_third_of_the_lines(spark, more_than, wide_basket):
     dice = random.Random(more_than * 7 + wide_basket)
     codes = "abcdefghijklmnopqrstuvwxyz"
@@ -77,3 +76,17 @@ def test_pairs_equal_brute_force_with_one_invoice_holding_a_third_of_the_lines(s
     invoices += [("huge", [dice.choice(codes) for _ in range(150)])]
     found = baskets.pair_frequencies(frame(spark, invoices), more_than, wide_basket=wide_basket, lane_items=3)
     assert {(r.Product1, r.Product2): r.Frequency for r in found.collect()} == brute_force(invoices, more_than)
+
+
+@pytest.mark.parametrize("seed_codes", [3, 20])
+@pytest.mark.parametrize("top_n", [1, 10, 500])
+def test_top_pairs_equal_brute_force(spark, top_n, seed_codes):
+    dice = random.Random(top_n)
+    codes = "abcdefghijklmnopqrst"
+    invoices = [(str(i), [dice.choice(codes) for _ in range(dice.randrange(1, 7))]) for i in range(80)]
+    invoices += [("huge", [dice.choice(codes) for _ in range(90)])]
+    found = baskets.top_line_pairs(
+        frame(spark, invoices), more_than=1, top_n=top_n, wide_basket=6, lane_items=4, seed_codes=seed_codes
+    )
+    ranked = sorted(brute_force(invoices, 1).items(), key=lambda item: (-item[1], item[0]))[:top_n]
+    assert [((r.Product1, r.Product2), r.Frequency) for r in found.collect()] == ranked

@@ -140,22 +140,11 @@ def _summed(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_frequencies(
-    lines: DataFrame, more_than: int = 50, wide_basket: int = 1000, lane_items: int = 500
-) -> DataFrame:
-    """Pairs of codes bought together on more than ``more_than`` pairs of lines (J3, exact).
-
-    A repeated line counts again, so a pair's frequency is the sum over invoices of (lines of one code x lines
-    of the other). Work is kept down without losing a pair:
+def _paired_rows(lines: DataFrame, more_than: int, wide_basket: int) -> DataFrame:
+    """Line counts per (invoice, code) with the invoice's width and the code's bounds; hopeless codes are left out.
 
-    * lines are counted per (invoice, code) first, so repeats do not multiply rows;
-    * with ``peak`` the largest line count in an invoice, sum(lines x peak) bounds every pair of a code, and codes
-      whose bound is too small are dropped;
-    * invoices wider than ``wide_basket`` codes are not paired in full. A pair can gain from them at most the
-      smaller of its two codes' bounds over wide invoices. If that alone is not enough, the pair must also occur
-      in a narrow invoice, and only pairs seen there are looked up in the wide ones. Pairs of codes that are both
-      heavy in wide invoices are joined there directly, in lanes of ``lane_items`` codes so that one invoice is
-      shared by many tasks.
+    ``peak`` being the largest line count in an invoice, sum(lines x peak) bounds the frequency of every pair of a
+    code: ``bound`` over all invoices, ``wide_bound`` over those wider than ``wide_basket`` codes.
     """
     known = lines.filter(F.col("InvoiceNo").isNotNull() & F.col("StockCode").isNotNull())
     bought = known.groupBy("InvoiceNo", "StockCode").agg(F.count("*").alias("lines"))
@@ -165,31 +154,50 @@ def pair_frequencies(
         .filter(F.col("width") >= _MIN_ITEMS)
     )
     sized = bought.join(invoices, "InvoiceNo")
-    is_wide = F.col("width") > wide_basket
     most = F.col("lines") * F.col("peak")
+    in_wide = F.when(F.col("width") > wide_basket, most).otherwise(0)
     bounds = (
         sized.groupBy("StockCode")
-        .agg(F.sum(most).alias("bound"), F.sum(F.when(is_wide, most).otherwise(0)).alias("wide_bound"))
+        .agg(F.sum(most).alias("bound"), F.sum(in_wide).alias("wide_bound"))
         .filter(F.col("bound") > more_than)
-        .select("StockCode", "wide_bound")
     )
-    rows = cut(sized.join(bounds, "StockCode").select("InvoiceNo", "StockCode", "lines", "width", "wide_bound"))
-    narrow = rows.filter(~is_wide).select("InvoiceNo", "StockCode", "lines", "wide_bound")
+    columns = ("InvoiceNo", "StockCode", "lines", "width", "bound", "wide_bound")
+    return cut(sized.join(bounds, "StockCode").select(*columns))
+
+
+def _counted_pairs(rows: DataFrame, more_than: int, wide_basket: int, lane_items: int) -> DataFrame:
+    """Pairs of ``_paired_rows`` above a frequency, exact; see ``pair_frequencies``."""
+    rows = rows.filter(F.col("bound") > more_than)
+    is_wide = F.col("width") > wide_basket
     wide = rows.filter(is_wide)
-    seen = _joined_pairs(narrow, "InvoiceNo")
-    parts = [seen]
+    total = _joined_pairs(rows.filter(~is_wide).select("InvoiceNo", "StockCode", "lines", "wide_bound"), "InvoiceNo")
     if not wide.isEmpty():
-        seen = cut(seen)
-        parts = [seen, _heavy_wide_pairs(wide, more_than, lane_items), _wide_lookups(seen, wide, more_than)]
-
-    total = parts[0]
-    for part in parts[1:]:
-        total = total.unionByName(part)
-    if len(parts) > 1:
-        total = total.groupBy("Product1", "Product2").agg(F.sum("Frequency").alias("Frequency"))
+        seen = cut(total)
+        gains = _heavy_wide_pairs(wide, more_than, lane_items).unionByName(_wide_lookups(seen, wide, more_than))
+        total = seen.unionByName(gains).groupBy("Product1", "Product2").agg(F.sum("Frequency").alias("Frequency"))
     return total.filter(F.col("Frequency") > more_than).select("Product1", "Product2", "Frequency")
 
 
+def pair_frequencies(
+    lines: DataFrame, more_than: int = 50, wide_basket: int = 1000, lane_items: int = 500
+) -> DataFrame:
+    """Pairs of codes bought together on more than ``more_than`` pairs of lines (J3, exact).
+
+    A repeated line counts again, so a pair's frequency is the sum over invoices of (lines of one code x lines
+    of the other). Work is kept down without losing a pair:
+
+    * lines are counted per (invoice, code) first, so repeats do not multiply rows;
+    * codes whose bound is too small are dropped;
+    * invoices wider than ``wide_basket`` codes are not paired in full. A pair can gain from them at most the
+      smaller of its two codes' bounds over wide invoices. If that alone is not enough, the pair must also occur
+      in a narrow invoice, and only pairs seen there are looked up in the wide ones. Pairs of codes that are both
+      heavy in wide invoices are joined there directly, in lanes of ``lane_items`` codes so that one invoice is
+      shared by many tasks.
+    """
+    rows = _paired_rows(lines, more_than, wide_basket)
+    return _counted_pairs(rows, more_than, wide_basket, lane_items)
+
+
 def _heavy_wide_pairs(wide: DataFrame, more_than: int, lane_items: int) -> DataFrame:
     """Pairs within wide invoices of codes whose wide bound is large enough by itself."""
     lanes = F.ceil(F.col("width") / lane_items).cast("int")
@@ -219,7 +227,33 @@ def _wide_lookups(seen: DataFrame, wide: DataFrame, more_than: int) -> DataFrame
     )
 
 
-def top_line_pairs(lines: DataFrame, more_than: int = 50, top_n: int = 100, **tuning: int) -> DataFrame:
-    """The most frequent pairs of ``pair_frequencies``."""
-    pairs = pair_frequencies(lines, more_than, **tuning)
+def _nth_frequency(rows: DataFrame, more_than: int, top_n: int, seed_codes: int) -> int | None:
+    """A frequency that at least ``top_n`` pairs reach: the n-th best among the codes with the largest bounds.
+
+    Few codes take part, so no invoice adds more than seed_codes^2 / 2 pairs.
+    """
+    codes = rows.select("StockCode", "bound").distinct().orderBy(F.desc("bound"), "StockCode").limit(seed_codes)
+    among = rows.join(F.broadcast(codes.select("StockCode")), "StockCode", "left_semi")
+    best = _joined_pairs(among, "InvoiceNo").filter(F.col("Frequency") > more_than)
+    reached = best.orderBy(F.desc("Frequency")).limit(top_n).agg(F.count("*").alias("n"), F.min("Frequency").alias("f"))
+    found = reached.first()
+    return found["f"] if found["n"] == top_n else None
+
+
+def top_line_pairs(
+    lines: DataFrame,
+    more_than: int = 50,
+    top_n: int = 100,
+    wide_basket: int = 1000,
+    lane_items: int = 500,
+    seed_codes: int = 200,
+) -> DataFrame:
+    """The most frequent pairs of ``pair_frequencies``.
+
+    The codes with the largest bounds are paired first. What their n-th best pair reaches is a floor for the
+    result, and all codes and pairs that cannot reach it are left out of the full count.
+    """
+    rows = _paired_rows(lines, more_than, wide_basket)
+    floor = _nth_frequency(rows, more_than, top_n, seed_codes)
+    pairs = _counted_pairs(rows, more_than if floor is None else floor - 1, wide_basket, lane_items)
     return pairs.orderBy(F.desc("Frequency"), "Product1", "Product2").limit(top_n)
