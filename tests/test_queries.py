@@ -1,4 +1,4 @@
-"""Every registered query against its SQL counterpart in DuckDB."""
+"""Every registered query against its SQL counterpart in DuckDB, and the plan it runs by."""
 
 from pathlib import Path
 
@@ -9,6 +9,9 @@ import __spark_entry__ as entry_points
 
 DATA = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+UNWANTED = (
+    "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups"
+)
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP",
     "boolean": "BOOLEAN",
@@ -32,6 +35,8 @@ def rows_by_column_name(columns, rows):
 def test_query(spark, duck, name):
     frame = QUERIES[name](spark, DATA)
     rows = frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in UNWANTED if node in plan]
     if name not in ORACLES:
         assert rows
         return
