@@ -17,6 +17,8 @@ def value(spark, expression):
         ("12/1/2010 8:26", C.US_LAYOUT, datetime(2010, 12, 1, 8, 26)),
         ("12/1/2010 8:26", C.ISO_LAYOUT, None),
         ("not a date", C.ISO_LAYOUT, None),
+        ("12/1/2010 8:26", C.ANY_LAYOUT, datetime(2010, 12, 1, 8, 26)),
+        ("not a date", C.ANY_LAYOUT, None),
     ],
 )
 def test_times_that_do_not_fit_the_layout_are_null(spark, text, layout, expected):

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import clean
 from tillroll.plans.dashboard import Dashboard
+from tillroll.plans.intake import stage_lines
 from tillroll.plans.ledger import run_ledger
 from tillroll.plans.recommendations import run_recommendations
 from tillroll.plans.segmentation import run_segmentation
@@ -120,5 +121,14 @@ def test_warehouse_tables_are_created_once(spark, lines):
     spark.catalog.setCurrentDatabase("default")
 
 
+def test_runs_from_staged_text(spark, raw, tmp_path):
+    store = ResultStore(spark, str(tmp_path / "results"))
+    staged = stage_lines(raw, store)
+    assert staged.schema == raw.schema and staged.count() == raw.count()
+    run_segmentation(staged, store)
+    recency = {r.CustomerID: r.Recency for r in store.read("customer_clusters").collect()}
+    assert recency == {"17850": 0, "14527": 1}
+
+
 def test_missing_store_folder_has_no_results(spark, tmp_path):
     assert ResultStore(spark, str(tmp_path / "none")).names() == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +24,16 @@ ISO_LAYOUT = "yyyy-MM-dd HH:mm:ss"
 US_LAYOUT = "M/d/yyyy H:mm"
 
 
-def parse_time(text: Column, layout: str = ISO_LAYOUT) -> Column:
-    """Text to timestamp (F1, F2); text that does not fit the layout becomes null instead of failing the job."""
-    return F.try_to_timestamp(text, F.lit(layout))
+ANY_LAYOUT = (ISO_LAYOUT, US_LAYOUT)
+
+
+def parse_time(text: Column, layout: str | Sequence[str] = ISO_LAYOUT) -> Column:
+    """Text to timestamp (F1, F2), by the first layout that fits.
+
+    Text that fits none becomes null instead of failing the job.
+    """
+    layouts = [layout] if isinstance(layout, str) else layout
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(one)) for one in layouts])
 
 
 def customer_text(customer: Column) -> Column:

@@ -14,6 +14,8 @@ basket     kept                dropped    no          kept
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from tillroll.functions import columns as C
 from tillroll.schema import MONEY, PRICE
 from tillroll.sources.lines import with_times
 
+Layout = str | Sequence[str]
+
 LINE_KEY = ("InvoiceNo", "StockCode")
 # What identifies the first of several lines with one key, most significant first.
 _FIRST_BY = ("InvoiceDate", "UnitPrice", "Description", "CustomerID", "Country")
@@ -42,7 +46,7 @@ def _priced(lines: DataFrame) -> DataFrame:
     )
 
 
-def ledger_lines_unmerged(raw: DataFrame, layout: str = C.ISO_LAYOUT) -> DataFrame:
+def ledger_lines_unmerged(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """The ledger rules before repeated lines are merged."""
     kept = _sold(raw).filter(~C.is_cancelled(F.col("InvoiceNo")))
     named = with_times(kept, layout).withColumns(
@@ -95,18 +99,18 @@ def merge_repeats(lines: DataFrame) -> DataFrame:
     return merged.withColumns(C.calendar_of(F.col("InvoiceDate")))
 
 
-def ledger_lines(raw: DataFrame, layout: str = C.ISO_LAYOUT) -> DataFrame:
+def ledger_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """Clean fact with unknown customers kept and repeated lines merged."""
     return merge_repeats(ledger_lines_unmerged(raw, layout))
 
 
-def member_lines(raw: DataFrame, layout: str = C.ISO_LAYOUT) -> DataFrame:
+def member_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """Clean fact of known customers only, one row per raw line (D3)."""
     kept = _sold(raw).filter(F.col("CustomerID").isNotNull() & ~C.is_cancelled(F.col("InvoiceNo")))
     return _priced(with_times(kept, layout).withColumn("CustomerID", C.customer_text(F.col("CustomerID"))))
 
 
-def shopper_lines(raw: DataFrame, layout: str = C.US_LAYOUT, ids_as_read: bool = False) -> DataFrame:
+def shopper_lines(raw: DataFrame, layout: Layout = C.ANY_LAYOUT, ids_as_read: bool = False) -> DataFrame:
     """Lines for customer segmentation: only quantity and price decide (D4). Amounts are not rounded.
 
     ``ids_as_read`` keeps the customer number as its column prints it ("17850.0" for a double).

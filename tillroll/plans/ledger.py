@@ -13,7 +13,7 @@ FACT = "processed_data"
 INVOICES = "invoice_rollup"
 
 
-def run_ledger(raw: DataFrame, store: ResultStore, layout: str = ISO_LAYOUT) -> DataFrame:
+def run_ledger(raw: DataFrame, store: ResultStore, layout: clean.Layout = ISO_LAYOUT) -> DataFrame:
     """Write the fact and every report; return the one-row summary.
 
     The source is cleaned once. The fact is written by year and month and read back, and all reports but the

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillroll.functions.columns import US_LAYOUT
+from tillroll.functions.columns import ANY_LAYOUT
 from tillroll.operators import clean, customers
 from tillroll.sources.store import ResultStore
 
 
-def segment_shoppers(raw: DataFrame, layout: str = US_LAYOUT) -> DataFrame:
+def segment_shoppers(raw: DataFrame, layout: clean.Layout = ANY_LAYOUT) -> DataFrame:
     """Customers with scores, segment and cluster number."""
     base = customers.shopper_base(clean.shopper_lines(raw, layout))
     return customers.shopper_segments(customers.shopper_scores(base))
 
 
-def run_segmentation(raw: DataFrame, store: ResultStore, layout: str = US_LAYOUT) -> DataFrame:
+def run_segmentation(raw: DataFrame, store: ResultStore, layout: clean.Layout = ANY_LAYOUT) -> DataFrame:
     """Write both results; return the statistics. They are computed from the customers as written."""
     segmented = store.write(segment_shoppers(raw, layout), "customer_clusters")
     return store.write(customers.cluster_statistics(segmented), "cluster_statistics")

@@ -10,7 +10,7 @@ from tillroll.runtime import held
 from tillroll.sources.store import create_if_absent, use_database
 
 
-def build_warehouse(raw: DataFrame, database: str, layout: str = ISO_LAYOUT) -> list[str]:
+def build_warehouse(raw: DataFrame, database: str, layout: clean.Layout = ISO_LAYOUT) -> list[str]:
     """Create the tables in ``database`` and return their names."""
     use_database(raw.sparkSession, database)
     fact = create_if_absent(clean.member_lines(raw, layout), "transactions")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.columns import parse_time
 from tillroll.schema import raw_schema
 
 BAD_RECORD = "_bad_record"
@@ -38,8 +41,8 @@ def declare_external(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.table(table)
 
 
-def with_times(raw: DataFrame, layout: str) -> DataFrame:
+def with_times(raw: DataFrame, layout: str | Sequence[str]) -> DataFrame:
     """Parse a text InvoiceDate column; frames that already hold timestamps pass unchanged."""
     if not isinstance(raw.schema["InvoiceDate"].dataType, T.StringType):
         return raw
-    return raw.withColumn("InvoiceDate", F.try_to_timestamp("InvoiceDate", F.lit(layout)))
+    return raw.withColumn("InvoiceDate", parse_time(F.col("InvoiceDate"), layout))
