@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,31 +9,15 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: str | None = None
-
-
-def _local_folder() -> str:
-    """One temporary folder per process, removed when the process ends."""
-    global _own_folder
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="tillroll-")
-        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
-    return _own_folder
-
 
 def cut_folder(spark: SparkSession) -> str:
-    """Folder for intermediates of this application, below ``spark.checkpoint.dir``.
+    """Folder for intermediates of this application, on storage that the driver and all executors share.
 
-    A local session without the setting gets a temporary folder. On a cluster the folder has to be storage that
-    every executor reaches, so a missing setting is an error there.
+    It lies below ``spark.checkpoint.dir`` if the session names one, else below the warehouse, which holds shared
+    tables already.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = _local_folder()
-    return f"{shared.rstrip('/')}/tillroll-{context.applicationId}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/tillroll-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
