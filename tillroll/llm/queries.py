@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, mixing, secrets, simhash, toxicity
+from tillroll.llm import decontam, embeddings, langid, mixing, secrets, simhash, suffix_dedup, toxicity
 from tillroll.sources.star import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, folder, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents")))
 
@@ -27,16 +31,34 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.linked_vectors(table(spark, folder, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language(table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_secret_scan, op3_source_mix, op5_simhash, op8_toxicity, op10_decontamination)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_secret_scan,
+        op3_source_mix,
+        op5_simhash,
+        op7_embedding_links,
+        op8_toxicity,
+        op9_language,
+        op10_decontamination,
+    )
 }
 
-ORACLES: dict[str, str] = {"op10_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {"op7_embedding_links": embeddings.ORACLE, "op10_decontamination": decontam.ORACLE}
