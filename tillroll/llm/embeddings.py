@@ -151,7 +151,7 @@ WITH RECURSIVE good AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(
         WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
     reach AS (SELECT vec_id AS x, vec_id AS y FROM sized UNION SELECT r.x, l.y FROM reach AS r JOIN links AS l ON r.y = l.x),
     least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
-    counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
-SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+    counted AS (SELECT x, count(*) AS c FROM links GROUP BY x)
+SELECT vec_id, CAST(coalesce(c, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM sized JOIN least ON least.x = vec_id LEFT JOIN counted ON counted.x = vec_id
 """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, embeddings, langid, mixing, secrets, simhash, suffix_dedup, toxicity
+from tillroll.llm import decontam, embeddings, html, langid, mixing, secrets, simhash, suffix_dedup, toxicity, warc
 from tillroll.sources.star import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +26,22 @@ def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.page_captures(table(spark, folder, "pages")))
+    entries = F.array_sort(F.map_entries("headers"))
+    text = F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return found.withColumn("headers", text)
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_components(table(spark, folder, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(table(spark, folder, "pages"))
+
+
 def op7_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.linked_vectors(table(spark, folder, "embeddings"))
 
@@ -53,7 +64,9 @@ QUERIES: dict[str, Query] = {
         op1_suffix_dedup,
         op2_secret_scan,
         op3_source_mix,
+        op4_warc_revisits,
         op5_simhash,
+        op6_html_text,
         op7_embedding_links,
         op8_toxicity,
         op9_language,
@@ -61,4 +74,8 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op7_embedding_links": embeddings.ORACLE, "op10_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_warc_revisits": warc.ORACLE,
+    "op7_embedding_links": embeddings.ORACLE,
+    "op10_decontamination": decontam.ORACLE,
+}
