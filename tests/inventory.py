@@ -5,9 +5,9 @@ A value names registered queries, or a test as file::function.
 
 COVERAGE: dict[str, tuple[str, ...]] = {
     # scans, sources, sinks, catalog
-    "S1": ("test_clean.py::test_malformed_fields_become_null_and_are_reported",),
+    "S1": ("test_clean.py::test_malformed_fields_become_null_and_are_reported", "s1_f1_csv_lines"),
     "S2": ("test_clean.py::test_inferred_types",),
-    "S3": ("test_clean.py::test_external_table_skips_the_header",),
+    "S3": ("test_clean.py::test_external_table_skips_the_header", "s3_external_lines"),
     "S4": ("test_runs.py::test_warehouse_tables_are_created_once",),
     "S5": ("test_runs.py::test_warehouse_tables_are_created_once",),
     "S6": ("test_runs.py::test_fact_is_read_by_partition",),
@@ -64,7 +64,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "W6": ("v5_monthly",),
     "W7": ("v4_products_by_revenue", "v9_transactions_largest"),
     # sorts, limits, paging
-    "L1": ("test_views.py::test_months_show_their_direction",),
+    "L1": ("test_views.py::test_months_show_their_direction", "l1_countries_in_order"),
     "L2": ("r7_top_by_quantity", "r17_top_spenders"),
     "L3": ("v9_transactions_largest", "v9_transactions_smallest"),
     "L4": ("v2_customers_page", "v2_segment_page"),
@@ -74,8 +74,8 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "L8": ("v2_segments",),
     "L9": ("v13_top_countries",),
     # scalar functions
-    "F1": ("test_columns.py::test_times_that_do_not_fit_the_layout_are_null",),
-    "F2": ("test_columns.py::test_times_that_do_not_fit_the_layout_are_null",),
+    "F1": ("test_columns.py::test_times_that_do_not_fit_the_layout_are_null", "s1_f1_csv_lines"),
+    "F2": ("test_columns.py::test_times_that_do_not_fit_the_layout_are_null", "f2_us_dates"),
     "F3": ("d2_ledger_lines",),
     "F4": ("d2_ledger_lines",),
     "F5": ("c3_rfm_by_invoices",),
@@ -119,7 +119,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "R16": ("r16_overview",),
     "R17": ("r17_top_spenders",),
     "R18": ("r18_repeat_purchases",),
-    "R19": ("test_runs.py::test_ledger_run_writes_every_result",),
+    "R19": ("test_runs.py::test_ledger_run_writes_every_result", "r19_ledger_run"),
     "Q1": ("q1_null_counts",),
     "Q2": ("q2_lines_without_customer",),
     "Q3": ("q3_suspicious_counts",),
@@ -134,16 +134,16 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "C6": ("c6_shopper_scores",),
     "C7": ("c7_shopper_segments",),
     "C8": ("c8_cluster_statistics",),
-    "C9": ("test_runs.py::test_segments_cover_all_customers",),
+    "C9": ("test_runs.py::test_segments_cover_all_customers", "c9_segmentation_run"),
     # baskets
     "B1": ("b1_baskets",),
     "B2": ("b2_product_dimension",),
-    "B3": ("b3_frequent_itemsets",),
+    "B3": ("b3_frequent_itemsets", "b3_part_itemsets"),
     "B4": ("b4_association_rules",),
-    "B5": ("b5_item_pairs",),
+    "B5": ("b5_item_pairs", "b5_part_pairs"),
     "B6": ("b6_product_rules",),
     "B7": ("b7_brand_line_pairs", "b7_part_line_pairs"),
-    "B8": ("test_runs.py::test_recommendations_are_sane",),
+    "B8": ("test_runs.py::test_recommendations_are_sane", "b8_recommendation_run"),
     # dashboard reads
     "V1": ("v1_overview", "v1_front_products"),
     "V2": ("v2_customers_page", "v2_segment_page", "v2_page_count", "v2_segments"),

@@ -1,7 +1,7 @@
 import re
 from pathlib import Path
 
-from tillroll.inventory import COVERAGE
+from inventory import COVERAGE
 from tillroll.registry import QUERIES
 
 TESTS = Path(__file__).parent

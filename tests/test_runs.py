@@ -90,7 +90,7 @@ def test_recommendations_are_sane(filled):
 def test_dashboard_reads(filled):
     board = Dashboard(filled[0])
     assert "transactions" in board.collections()
-    assert board.overview().first().TotalProducts == 20
+    assert board.overview()[0].first().TotalProducts == 20
     assert [r.Rank for r in board.front_products().collect()] == [1, 2, 3, 4, 5]
     listed, pages, segments = board.customers(page=1)
     assert listed.count() == 20 and pages.first().Total > 20 and segments.count() > 1

@@ -37,8 +37,13 @@ def parse_time(text: Column, layout: str | Sequence[str] = ISO_LAYOUT) -> Column
 
 
 def customer_text(customer: Column) -> Column:
-    """Customer number as text without a decimal part (F11); null stays null."""
-    return customer.try_cast("double").try_cast("bigint").cast("string")
+    """Customer id as text without a decimal part (F11); null stays null.
+
+    Numbers lose their decimal part. Text keeps what it says, but for outer blanks and an ending ``.0``; blank text is null.
+    """
+    text = F.regexp_replace(F.trim(customer.cast("string")), r"^(\d+)\.0+$", "$1")
+    number = customer.try_cast("double").try_cast("bigint").cast("string")
+    return F.when(F.typeof(customer) == "string", F.nullif(text, F.lit(""))).otherwise(number)
 
 
 def customer_or_unknown(customer: Column) -> Column:
@@ -62,8 +67,8 @@ def calendar_of(moment: Column) -> dict[str, Column]:
 
 
 def line_amount(quantity: Column, price: Column) -> Column:
-    """Quantity times unit price, exact to the price's four places."""
-    return quantity * price.cast(PRICE)
+    """Quantity times unit price, exact to ten places of the price."""
+    return quantity.cast("decimal(10,0)") * price.cast(PRICE)
 
 
 def tidy_text(text: Column) -> Column:

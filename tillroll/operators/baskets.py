@@ -31,15 +31,16 @@ def mining_baskets(lines: DataFrame, min_support: float) -> DataFrame:
 
     A frequent code is in at least ``min_support`` of the baskets, so there are at most (mean basket size /
     min_support) of them. That bounds every array, whatever the largest invoice holds, and the frequent codes.
-    Baskets left empty stay, so supports keep their denominator.
+    Baskets left empty stay, so supports keep their denominator. Both aggregates are written before they are joined, so that
+    adaptive execution can split a code or an invoice with very many lines.
     """
     occurrences = _occurrences(lines)
     sizes = occurrences.groupBy("InvoiceNo").agg(F.count("*").alias("items_bought"))
-    eligible = sizes.filter(F.col("items_bought") >= _MIN_ITEMS).select("InvoiceNo")
+    eligible = cut(sizes.filter(F.col("items_bought") >= _MIN_ITEMS).select("InvoiceNo"))
     bought = occurrences.join(eligible, "InvoiceNo", "left_semi")
     least = F.ceil(F.lit(min_support) * eligible.agg(F.count("*")).scalar())
     frequent = bought.groupBy("StockCode").agg(F.count("*").alias("found")).filter(F.col("found") >= least)
-    kept = bought.join(frequent, "StockCode", "left_semi")
+    kept = bought.join(cut(frequent), "StockCode", "left_semi")
     collected = kept.groupBy("InvoiceNo").agg(F.array_sort(F.collect_list("StockCode")).alias("items"))
     empty = F.array().cast("array<string>")
     return eligible.join(collected, "InvoiceNo", "left").withColumn("items", F.coalesce("items", empty))
@@ -72,14 +73,11 @@ def _codes(top: DataFrame, *columns: str) -> DataFrame:
 
 
 def _describe(top: DataFrame, lines: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Left-join descriptions for each code column.
-
-    ``top`` is a ranking of fixed length, which bounds the broadcast codes and descriptions.
-    """
+    """Left-join descriptions for each code column (J2). ``top`` and the descriptions are written tables of known size."""
     known = cut(descriptions(lines, _codes(top, *names)))
     for code, text in names.items():
         labelled = known.select(F.col("StockCode").alias(code), F.col("Description").alias(text))
-        top = top.join(F.broadcast(labelled), code, "left")
+        top = top.join(labelled, code, "left")
     return top
 
 
@@ -153,7 +151,7 @@ def _paired_rows(lines: DataFrame, more_than: int, wide_basket: int) -> DataFram
         .agg(F.count("*").alias("width"), F.max("lines").alias("peak"))
         .filter(F.col("width") >= _MIN_ITEMS)
     )
-    sized = bought.join(invoices, "InvoiceNo")
+    sized = bought.join(cut(invoices), "InvoiceNo")
     most = F.col("lines") * F.col("peak")
     in_wide = F.when(F.col("width") > wide_basket, most).otherwise(0)
     bounds = (
@@ -162,7 +160,7 @@ def _paired_rows(lines: DataFrame, more_than: int, wide_basket: int) -> DataFram
         .filter(F.col("bound") > more_than)
     )
     columns = ("InvoiceNo", "StockCode", "lines", "width", "bound", "wide_bound")
-    return cut(sized.join(bounds, "StockCode").select(*columns))
+    return cut(sized.join(cut(bounds), "StockCode").select(*columns))
 
 
 def _counted_pairs(rows: DataFrame, more_than: int, wide_basket: int, lane_items: int) -> DataFrame:
@@ -171,10 +169,9 @@ def _counted_pairs(rows: DataFrame, more_than: int, wide_basket: int, lane_items
     is_wide = F.col("width") > wide_basket
     wide = rows.filter(is_wide)
     total = _joined_pairs(rows.filter(~is_wide).select("InvoiceNo", "StockCode", "lines", "wide_bound"), "InvoiceNo")
-    if not wide.isEmpty():
-        seen = cut(total)
-        gains = _heavy_wide_pairs(wide, more_than, lane_items).unionByName(_wide_lookups(seen, wide, more_than))
-        total = seen.unionByName(gains).groupBy("Product1", "Product2").agg(F.sum("Frequency").alias("Frequency"))
+    seen = cut(total)
+    gains = _heavy_wide_pairs(wide, more_than, lane_items).unionByName(_wide_lookups(seen, wide, more_than))
+    total = seen.unionByName(gains).groupBy("Product1", "Product2").agg(F.sum("Frequency").alias("Frequency"))
     return total.filter(F.col("Frequency") > more_than).select("Product1", "Product2", "Frequency")
 
 

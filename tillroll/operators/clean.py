@@ -20,14 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.schema import MONEY, PRICE
+from tillroll.runtime import cut
+from tillroll.schema import MONEY
 from tillroll.sources.lines import with_times
 
 Layout = str | Sequence[str]
 
 LINE_KEY = ("InvoiceNo", "StockCode")
-# What identifies the first of several lines with one key, most significant first.
-_FIRST_BY = ("InvoiceDate", "UnitPrice", "Description", "CustomerID", "Country")
+# What identifies the first of several lines with one key, most significant first. The description comes last, so that leaving it out
+# changes nothing else.
+_FIRST_BY = ("InvoiceDate", "UnitPrice", "CustomerID", "Country", "Description")
 
 
 def _sold(raw: DataFrame) -> DataFrame:
@@ -35,11 +37,10 @@ def _sold(raw: DataFrame) -> DataFrame:
 
 
 def _priced(lines: DataFrame) -> DataFrame:
-    """Exact price, rounded line amount and calendar columns."""
+    """Rounded line amount and calendar columns; the price stays as read."""
     amount = F.round(C.line_amount(F.col("Quantity"), F.col("UnitPrice")), 2).cast(MONEY)
     return lines.withColumns(
         {
-            "UnitPrice": F.col("UnitPrice").cast(PRICE),
             "TotalAmount": amount,
             **C.calendar_of(F.col("InvoiceDate")),
         }
@@ -49,22 +50,23 @@ def _priced(lines: DataFrame) -> DataFrame:
 def ledger_lines_unmerged(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """The ledger rules before repeated lines are merged."""
     kept = _sold(raw).filter(~C.is_cancelled(F.col("InvoiceNo")))
-    named = with_times(kept, layout).withColumns(
-        {
-            "CustomerID": C.customer_or_unknown(F.col("CustomerID")),
-            "Description": C.tidy_text(F.col("Description")),
-        }
-    )
+    named = with_times(kept, layout).withColumn("CustomerID", C.customer_or_unknown(F.col("CustomerID")))
+    if "Description" in raw.columns:
+        named = named.withColumn("Description", C.tidy_text(F.col("Description")))
     return _priced(named)
 
 
+def _first_by(lines: DataFrame) -> list[str]:
+    return [c for c in _FIRST_BY if c in lines.columns]
+
+
 def first_line_per_key(lines: DataFrame) -> DataFrame:
     """One row per (InvoiceNo, StockCode): the earliest line, ties by price and text.
 
     An aggregate over a struct needs one shuffle and combines before it, so one key holding most of the rows
     does not gather them in one task the way a row_number window would.
     """
-    first = F.min(F.struct(*_FIRST_BY)).alias("first")
+    first = F.min(F.struct(*_first_by(lines))).alias("first")
     return lines.filter(F.col("StockCode").isNotNull()).groupBy(*LINE_KEY).agg(first).select(*LINE_KEY, "first.*")
 
 
@@ -76,8 +78,11 @@ def key_totals(lines: DataFrame) -> DataFrame:
 
 
 def with_key_totals(lines: DataFrame) -> DataFrame:
-    """Every line next to the totals of its key."""
-    return lines.join(key_totals(lines), list(LINE_KEY), "inner")
+    """Every line next to the totals of its key.
+
+    The totals are written first: of a table's sizes adaptive execution knows enough to split a key with very many lines.
+    """
+    return lines.join(cut(key_totals(lines)), list(LINE_KEY), "inner")
 
 
 def merge_repeats(lines: DataFrame) -> DataFrame:
@@ -90,7 +95,7 @@ def merge_repeats(lines: DataFrame) -> DataFrame:
         lines.filter(F.col("StockCode").isNotNull())
         .groupBy(*LINE_KEY)
         .agg(
-            F.min(F.struct(*_FIRST_BY)).alias("first"),
+            F.min(F.struct(*_first_by(lines))).alias("first"),
             F.sum("Quantity").alias("Quantity"),
             F.sum("TotalAmount").cast(MONEY).alias("TotalAmount"),
         )
@@ -100,14 +105,15 @@ def merge_repeats(lines: DataFrame) -> DataFrame:
 
 
 def ledger_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
-    """Clean fact with unknown customers kept and repeated lines merged."""
+    """Clean fact with unknown customers kept and repeated lines merged (D2). Lines read without a description give a fact without."""
     return merge_repeats(ledger_lines_unmerged(raw, layout))
 
 
 def member_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """Clean fact of known customers only, one row per raw line (D3)."""
-    kept = _sold(raw).filter(F.col("CustomerID").isNotNull() & ~C.is_cancelled(F.col("InvoiceNo")))
-    return _priced(with_times(kept, layout).withColumn("CustomerID", C.customer_text(F.col("CustomerID"))))
+    named = _sold(raw).withColumn("CustomerID", C.customer_text(F.col("CustomerID")))
+    kept = named.filter(F.col("CustomerID").isNotNull() & ~C.is_cancelled(F.col("InvoiceNo")))
+    return _priced(with_times(kept, layout))
 
 
 def shopper_lines(raw: DataFrame, layout: Layout = C.ANY_LAYOUT, ids_as_read: bool = False) -> DataFrame:
@@ -120,7 +126,6 @@ def shopper_lines(raw: DataFrame, layout: Layout = C.ANY_LAYOUT, ids_as_read: bo
     return with_times(_sold(raw), layout).withColumns(
         {
             "TotalAmount": C.line_amount(F.col("Quantity"), F.col("UnitPrice")),
-            "UnitPrice": F.col("UnitPrice").cast(PRICE),
             "CustomerID": label,
         }
     )

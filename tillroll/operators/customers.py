@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,7 +187,7 @@ def shopper_base(lines: DataFrame, min_invoices: int = 2) -> DataFrame:
         F.max("Country").alias("Country"),
         F.max("last").alias("LastPurchase"),
         F.count_distinct("InvoiceNo").alias("Frequency"),
-        F.sum("amount").cast("decimal(22,4)").alias("amount"),
+        F.sum("amount").cast("decimal(28,10)").alias("amount"),
         F.sum("lines").alias("lines"),
     )
     products = (
@@ -227,36 +227,39 @@ def cluster_statistics(segmented: DataFrame) -> DataFrame:
 
 def top_spenders(lines: DataFrame, top_n: int = 10) -> DataFrame:
     """Customers by spend, with distinct orders and products."""
-    return (
-        lines.groupBy(*_BUYER)
-        .agg(
-            F.count_distinct("InvoiceNo").alias("TotalOrders"),
-            C.as_double(F.sum("TotalAmount")).alias("TotalSpent"),
-            F.count_distinct("StockCode").alias("UniqueProducts"),
-        )
-        .orderBy(F.desc("TotalSpent"), *_BUYER)
-        .limit(top_n)
+    spent = lines.groupBy(*_BUYER).agg(C.as_double(F.sum("TotalAmount")).alias("TotalSpent"))
+    top = cut(spent.orderBy(F.desc("TotalSpent"), *_BUYER).limit(top_n)).withColumnsRenamed(
+        {"CustomerID": "id", "Country": "home"}
+    )
+    # Distinct counts repeat their rows, so they run on the lines of the ranked customers only.
+    same = F.col("CustomerID").eqNullSafe(F.col("id")) & F.col("Country").eqNullSafe(F.col("home"))
+    counted = lines.join(top, same).groupBy(*_BUYER, "TotalSpent").agg(
+        F.count_distinct("InvoiceNo").alias("TotalOrders"), F.count_distinct("StockCode").alias("UniqueProducts")
     )
+    columns = (*_BUYER, "TotalOrders", "TotalSpent", "UniqueProducts")
+    return counted.select(*columns).orderBy(F.desc("TotalSpent"), *_BUYER)
 
 
-# What each segment means and what to do about it; any other label gets the last text.
+# What a segment means for the shop; callers may pass their own texts.
 SEGMENT_NOTES = {
-    "Champions": "Best customers: bought recently, buy often, spend most. Give special care and keep them.",
-    "Loyal Customers": "Loyal customers: buy often. May become Champions by spending more.",
-    "Big Spenders": "Spend much but not often yet. Encourage more frequent purchases.",
-    "At Risk": "Were good customers but have not bought for long. Start a win-back campaign now.",
-    "Lost Customers": "Lost customers. Reactivation may be tried, with a low chance of success.",
+    "Champions": "Recent, frequent and high spend. Reward and keep.",
+    "Loyal Customers": "Recent with good frequency. Offer more of what they buy.",
+    "Big Spenders": "High spend, average frequency. Give reasons to return.",
+    "At Risk": "Once frequent with high spend, now quiet. Contact soon.",
+    "Lost Customers": "Quiet, rare and low. Contact only if it costs little.",
 }
-OTHER_NOTE = "Ordinary customers. Watch them and find a fitting way to move them to a better group."
+OTHER_NOTE = "No particular pattern. Watch for a change of group."
 
 
-def segment_notes(spark: SparkSession) -> DataFrame:
+def segment_notes(spark: SparkSession, notes: Mapping[str, str] = SEGMENT_NOTES) -> DataFrame:
     """The notes as a small table."""
-    return spark.createDataFrame(list(SEGMENT_NOTES.items()), "Segment string, Note string")
+    return spark.createDataFrame(list(notes.items()), "Segment string, Note string")
 
 
-def with_segment_note(customers: DataFrame) -> DataFrame:
-    """Customers with the note of their segment (V14). The note table has a handful of rows."""
-    notes = F.broadcast(segment_notes(customers.sparkSession))
-    noted = customers.join(notes, "Segment", "left")
-    return noted.withColumn("Note", F.coalesce("Note", F.lit(OTHER_NOTE)))
+def with_segment_note(
+    customers: DataFrame, notes: Mapping[str, str] = SEGMENT_NOTES, other: str = OTHER_NOTE
+) -> DataFrame:
+    """Customers with the note of their segment (V14). The note table has a row per entry of ``notes``."""
+    table = F.broadcast(segment_notes(customers.sparkSession, notes))
+    noted = customers.join(table, "Segment", "left")
+    return noted.withColumn("Note", F.coalesce("Note", F.lit(other)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
 from tillroll.runtime import cut
+from tillroll.schema import PRICE
 
 _PRODUCT = ("StockCode", "Description")
 
@@ -16,7 +17,7 @@ def _revenue() -> Column:
 
 
 def _average_price() -> Column:
-    return C.ratio(F.sum("UnitPrice"), F.count("UnitPrice")).alias("AvgPrice")
+    return C.ratio(F.sum(F.col("UnitPrice").cast(PRICE)).cast("decimal(28,10)"), F.count("UnitPrice")).alias("AvgPrice")
 
 
 def descriptions(lines: DataFrame, codes: DataFrame | None = None) -> DataFrame:
@@ -27,17 +28,18 @@ def descriptions(lines: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """
     known = lines.filter(F.col("Description").isNotNull()).select(*_PRODUCT)
     if codes is not None:
-        known = known.join(F.broadcast(codes.select("StockCode")), "StockCode", "left_semi")
+        known = known.join(codes.select("StockCode"), "StockCode", "left_semi")
     return known.distinct().groupBy("StockCode").agg(F.min("Description").alias("Description"))
 
 
 def _described(top: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add descriptions to a ranking of fixed length, which bounds what is broadcast.
+    """Add descriptions to a ranking that has been written out; its size decides whether it is broadcast."""
+    return top.join(descriptions(lines, top), "StockCode", "left")
 
-    The ranking is written out first: it is needed twice, and each time would aggregate all lines.
-    """
-    short = cut(top)
-    return short.join(F.broadcast(descriptions(lines, short)), "StockCode", "left")
+
+def _of_codes(lines: DataFrame, top: DataFrame) -> DataFrame:
+    """Lines of the ranked codes only, for the distinct counts, which repeat their rows."""
+    return lines.join(top.select("StockCode"), "StockCode", "left_semi")
 
 
 def per_product(lines: DataFrame) -> DataFrame:
@@ -62,34 +64,24 @@ def top_by_revenue(products: DataFrame, top_n: int = 20) -> DataFrame:
 
 def top_codes_by_quantity(lines: DataFrame, top_n: int = 50) -> DataFrame:
     """Best sellers by quantity per code, with distinct orders and customers."""
-    top = (
-        lines.groupBy("StockCode")
-        .agg(
-            F.sum("Quantity").alias("TotalQuantity"),
-            F.count_distinct("InvoiceNo").alias("TotalOrders"),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            _revenue(),
-        )
-        .orderBy(F.desc("TotalQuantity"), "StockCode")
-        .limit(top_n)
+    sums = lines.groupBy("StockCode").agg(F.sum("Quantity").alias("TotalQuantity"), _revenue())
+    top = cut(sums.orderBy(F.desc("TotalQuantity"), "StockCode").limit(top_n))
+    counts = _of_codes(lines, top).groupBy("StockCode").agg(
+        F.count_distinct("InvoiceNo").alias("TotalOrders"), F.count_distinct("CustomerID").alias("TotalCustomers")
     )
-    return _described(top, lines).orderBy(F.desc("TotalQuantity"), "StockCode")
+    ranked = _described(top, lines).join(counts, "StockCode")
+    columns = ("StockCode", "TotalQuantity", "TotalOrders", "TotalCustomers", "TotalRevenue", "Description")
+    return ranked.select(*columns).orderBy(F.desc("TotalQuantity"), "StockCode")
 
 
 def top_codes_by_revenue(lines: DataFrame, top_n: int = 50) -> DataFrame:
     """Best sellers by revenue per code."""
-    top = (
-        lines.groupBy("StockCode")
-        .agg(
-            _revenue(),
-            F.sum("Quantity").alias("TotalQuantity"),
-            F.count_distinct("InvoiceNo").alias("TotalOrders"),
-            _average_price(),
-        )
-        .orderBy(F.desc("TotalRevenue"), "StockCode")
-        .limit(top_n)
-    )
-    return _described(top, lines).orderBy(F.desc("TotalRevenue"), "StockCode")
+    sums = lines.groupBy("StockCode").agg(_revenue(), F.sum("Quantity").alias("TotalQuantity"), _average_price())
+    top = cut(sums.orderBy(F.desc("TotalRevenue"), "StockCode").limit(top_n))
+    counts = _of_codes(lines, top).groupBy("StockCode").agg(F.count_distinct("InvoiceNo").alias("TotalOrders"))
+    ranked = _described(top, lines).join(counts, "StockCode")
+    columns = ("StockCode", "TotalRevenue", "TotalQuantity", "TotalOrders", "AvgPrice", "Description")
+    return ranked.select(*columns).orderBy(F.desc("TotalRevenue"), "StockCode")
 
 
 def repeat_purchases(lines: DataFrame, min_customers: int = 100, top_n: int = 20) -> DataFrame:
@@ -103,7 +95,7 @@ def repeat_purchases(lines: DataFrame, min_customers: int = 100, top_n: int = 20
         .orderBy(F.desc("AvgPurchasePerCustomer"), "StockCode")
         .limit(top_n)
     )
-    return _described(top, lines).orderBy(F.desc("AvgPurchasePerCustomer"), "StockCode")
+    return _described(cut(top), lines).orderBy(F.desc("AvgPurchasePerCustomer"), "StockCode")
 
 
 def top_by_orders(lines: DataFrame, top_n: int = 20) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def removal_report(raw: DataFrame) -> DataFrame:
     return listed.select("Step", "LineCount", C.percent(F.col("LineCount"), F.col("all"), 2).alias("PercentOfRead"))
 
 
-def _broken_rules() -> dict[str, Column]:
+def _broken_rules(layout: str | Sequence[str]) -> dict[str, Column]:
     required = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID")
     numbers = {"Quantity": "int", "UnitPrice": "double", "CustomerID": "int"}
     missing = {f"{c} is missing": F.col(c).isNull() for c in required}
@@ -66,12 +68,13 @@ def _broken_rules() -> dict[str, Column]:
         for c, kind in numbers.items()
     }
     when = F.col("InvoiceDate")
-    return {**missing, **odd, "InvoiceDate is not timestamp": when.isNotNull() & when.try_cast("timestamp").isNull()}
+    read = F.coalesce(when.try_cast("timestamp"), C.parse_time(when.cast("string"), layout))
+    return {**missing, **odd, "InvoiceDate is not timestamp": when.isNotNull() & read.isNull()}
 
 
-def rule_violations(raw: DataFrame) -> DataFrame:
-    """Rows that break each required-field or type rule (Q5)."""
-    counts = raw.agg(*[F.count_if(rule).alias(name) for name, rule in _broken_rules().items()])
+def rule_violations(raw: DataFrame, layout: str | Sequence[str] = C.ANY_LAYOUT) -> DataFrame:
+    """Rows that break each required-field or type rule (Q5). Dates are those that a cast or one of the layouts reads."""
+    counts = raw.agg(*[F.count_if(rule).alias(name) for name, rule in _broken_rules(layout).items()])
     return _long_form(counts, "Rule", "Violations")
 
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-_KEYS_PER_BUCKET = 20
-_METRIC = "decimal(28,4)"
+from tillroll.runtime import cut
+
+_METRIC = "decimal(38,10)"
 
 
 def _position(metric: str, descending: bool, key: Sequence[str]) -> Column:
@@ -39,29 +39,13 @@ def _tile_starts(rows: int, tiles: int) -> list[int]:
     return [s for s in starts if s < rows]
 
 
-def _cuts(positions: DataFrame, rows: int, bucket_rows: int) -> dict[str, list[Row]]:
-    """Positions that split each order into buckets of roughly ``bucket_rows``.
+def _ranged(positions: DataFrame) -> DataFrame:
+    """Positions dealt out in ranges of their order, with the number of the range, as a written table.
 
-    They come from a sample of about twenty positions per bucket. The sample only decides how even the buckets
-    are; ranks are exact for any cuts. Positions include the key, so equal metrics are split as well.
+    Positions include the key, so equal metrics are split as well. Range numbers rise with the order.
     """
-    buckets = math.ceil(rows / bucket_rows)
-    if buckets == 1:
-        return {}
-    share = min(1.0, buckets * _KEYS_PER_BUCKET / rows)
-    sampled: dict[str, list[Row]] = {}
-    for row in positions.sample(share, seed=7).orderBy("score", "position").collect():
-        sampled.setdefault(row["score"], []).append(row["position"])
-    return {score: found[_KEYS_PER_BUCKET::_KEYS_PER_BUCKET] for score, found in sampled.items()}
-
-
-def _bucket(cuts: Mapping[str, Sequence[Row]], key: Sequence[str]) -> Column:
-    bucket = F.lit(0)
-    for score, found in cuts.items():
-        if found:
-            at_or_below = F.filter(F.array(*[_literal(c, key) for c in found]), lambda c: c <= F.col("position"))
-            bucket = F.when(F.col("score") == score, F.size(at_or_below)).otherwise(bucket)
-    return bucket
+    ranged = positions.repartitionByRange("score", "position")
+    return cut(ranged.withColumn("range", F.spark_partition_id()))
 
 
 def add_tiles(
@@ -69,16 +53,16 @@ def add_tiles(
     scores: Mapping[str, tuple[str, bool]],
     key: Sequence[str],
     tiles: int = 5,
-    bucket_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add NTILE(tiles) columns: ``scores`` maps a new column to (numeric metric, descending).
 
     ``key`` columns are text, identify a row, and break ties. ``df`` is read a few times, so pass a frame that
     is cheap to read again.
 
-    A tile number depends only on how a row compares with the rows at which the tiles start. Those few rows are
-    found by counting rows per bucket and ranking only the buckets that hold a start; then each row is compared
-    with them, and no row of ``df`` has to move.
+    A tile number depends only on how a row compares with the rows at which the tiles start. Spark deals the
+    positions out in ranges, a sort without its last step; the driver reads one count per range and knows which ranges hold a start
+    and at what place. Only those are ranked, each in its task, and return the starts; then each row of ``df`` is compared with them
+    and does not move. The plan is the same for any number of rows.
     """
     rows = df.count()
     starts = _tile_starts(rows, tiles)
@@ -86,36 +70,32 @@ def add_tiles(
         return df.withColumns({score: F.lit(1) for score in scores})
 
     where = {score: _position(metric, descending, key) for score, (metric, descending) in scores.items()}
-    each = F.array(*[F.struct(F.lit(s).alias("score"), p.alias("position")) for s, p in where.items()])
+    each = F.array(*[F.struct(F.lit(n).alias("score"), p.alias("position")) for n, p in enumerate(where.values())])
     positions = df.select(F.inline(each))
-    cuts = _cuts(positions, rows, bucket_rows)
-    placed = positions.withColumn("bucket", _bucket(cuts, key))
-
-    sizes = {score: [rows] for score in scores}
-    if cuts:
-        sizes = {score: [0] * (len(cuts.get(score, ())) + 1) for score in scores}
-        for row in placed.groupBy("score", "bucket").count().collect():
-            sizes[row["score"]][row["bucket"]] = row["count"]
+    ranged = _ranged(positions)
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    for row in ranged.groupBy("score", "range").count().orderBy("score", "range").collect():
+        sizes.setdefault(row["score"], []).append((row["range"], row["count"]))
 
+    names = list(scores)
     wanted = []
-    for score in scores:
-        ends = list(accumulate(sizes[score]))
+    for number, counts in sizes.items():
+        ends = list(accumulate(count for _, count in counts))
         for start in starts:
-            bucket = next(b for b, end in enumerate(ends) if start < end)
-            before = ends[bucket] - sizes[score][bucket]
-            wanted.append((score, bucket, start - before + 1))
-    in_wanted_bucket = F.struct("score", "bucket").isin(
+            at = next(i for i, end in enumerate(ends) if start < end)
+            wanted.append((number, counts[at][0], start - (ends[at] - counts[at][1]) + 1))
+    in_wanted_range = F.struct("score", "range").isin(
         [F.struct(F.lit(s), F.lit(b)) for s, b in sorted({(s, b) for s, b, _ in wanted})]
     )
-    is_start = F.struct("score", "bucket", "rank").isin(
+    is_start = F.struct("score", "range", "rank").isin(
         [F.struct(F.lit(s), F.lit(b), F.lit(r)) for s, b, r in wanted]
     )
-    ranked = placed.filter(in_wanted_bucket).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("score", "bucket").orderBy("position"))
+    ranked = ranged.filter(in_wanted_range).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("score", "range").orderBy("position"))
     )
     found: dict[str, list[Row]] = {score: [] for score in scores}
     for row in ranked.filter(is_start).select("score", "position").collect():
-        found[row["score"]].append(row["position"])
+        found[names[row["score"]]].append(row["position"])
 
     def tile(score: str) -> Column:
         reached = [(where[score] >= _literal(p, key)).cast("int") for p in found[score]]

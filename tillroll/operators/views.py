@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,20 @@ def page(table: DataFrame, number: int, *order: str | Column, per_page: int = PE
     return table.orderBy(*order).offset((number - 1) * per_page).limit(per_page)
 
 
+def next_page(table: DataFrame, keys: Mapping[str, bool], after: Mapping[str, object], per_page: int = PER_PAGE) -> DataFrame:
+    """The page after a row of a table sorted by ``keys`` (column to whether it falls), by the values of that row.
+
+    Unlike ``page`` it keeps one page per task however deep it lies. ``keys`` identify a row and hold no nulls.
+    """
+    past = F.lit(False)
+    for column, falls in reversed(keys.items()):
+        value = F.lit(after[column])
+        beyond = F.col(column) < value if falls else F.col(column) > value
+        past = beyond | ((F.col(column) == value) & past)
+    order = [F.desc(c) if falls else F.asc(c) for c, falls in keys.items()]
+    return table.filter(past).orderBy(*order).limit(per_page)
+
+
 def page_count(table: DataFrame, per_page: int = PER_PAGE) -> DataFrame:
     """Number of rows and of pages."""
     counted = table.agg(F.count("*").alias("Total"))
@@ -66,14 +82,21 @@ def customers_page(customers: DataFrame, number: int = 1, segment: str | None =
     return page(_in_segment(customers, segment), number, "CustomerID").withColumn("Badge", C.slug(F.col("Segment")))
 
 
+def customers_after(customers: DataFrame, customer_id: str, segment: str | None = None) -> DataFrame:
+    """The page of customers after an id (V2)."""
+    rows = next_page(_in_segment(customers, segment), {"CustomerID": False}, {"CustomerID": customer_id})
+    return rows.withColumn("Badge", C.slug(F.col("Segment")))
+
+
 def customers_page_count(customers: DataFrame, segment: str | None = None) -> DataFrame:
     """Rows and pages behind ``customers_page`` (V2)."""
     return page_count(_in_segment(customers, segment))
 
 
 def find_customer(table: DataFrame, customer_id: str) -> DataFrame:
-    """At most one row of a customer; the smallest country when there are several (P10)."""
-    return table.filter(F.col("CustomerID") == customer_id).orderBy("Country").limit(1)
+    """At most one row of a customer; the smallest country when there are several (P10). Ids are compared without a decimal part."""
+    plain = F.regexp_replace("CustomerID", r"\.0$", "")
+    return table.filter(plain == customer_id.removesuffix(".0")).orderBy("Country").limit(1)
 
 
 def customer_details(customers: DataFrame, rfm: DataFrame) -> DataFrame:
@@ -191,6 +214,12 @@ def transactions_page(transactions: DataFrame, number: int = 1, descending: bool
     return _ranked(page(transactions, number, *order), *order, name="Position", start=(number - 1) * PER_PAGE)
 
 
+def transactions_after(transactions: DataFrame, last: Mapping[str, object], descending: bool = True) -> DataFrame:
+    """The page of invoices after the last one seen, given by its amount, number, customer and country (V9)."""
+    keys = {"TotalAmount": descending, "InvoiceNo": False, "CustomerID": False, "Country": False}
+    return next_page(transactions, keys, last)
+
+
 def _largest(transactions: DataFrame, rows: int) -> DataFrame:
     return first_rows(transactions, rows, F.desc("TotalAmount"), "InvoiceNo", "CustomerID", "Country")
 

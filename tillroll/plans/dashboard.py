@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators import customers, views
 from tillroll.sources.store import ResultStore
@@ -19,9 +21,30 @@ class Dashboard:
     def collections(self) -> list[str]:
         return self.store.names()
 
-    def overview(self) -> DataFrame:
+    def _read_or_empty(self, name: str) -> DataFrame:
+        """A result, or a frame without rows if it has not been written."""
+        if name in self.store.names():
+            return self.store.read(name)
+        return self.store.spark.range(0)
+
+    def overview(self) -> tuple[DataFrame, DataFrame | None]:
+        """Sizes, absent results counting 0, and customers per segment if there are any results of them."""
         names = ("customer_clusters", "transactions", "top_products_quantity")
-        return views.overview(*map(self.store.read, names))
+        tables = [self._read_or_empty(name) for name in names]
+        split = views.segment_counts(tables[0]) if "Segment" in tables[0].columns else None
+        return views.overview(*tables), split
+
+    def first_customers(self, rows: int = 100) -> DataFrame:
+        return views.first_rows(self.store.read("customer_clusters"), rows, "CustomerID")
+
+    def first_countries(self, rows: int = 10) -> DataFrame:
+        return views.first_rows(self.store.read("country_performance"), rows, F.desc("TotalRevenue"), "Country")
+
+    def customers_after(self, customer_id: str, segment: str | None = None) -> DataFrame:
+        return views.customers_after(self.store.read("customer_clusters"), customer_id, segment)
+
+    def transactions_after(self, last: Mapping[str, object], descending: bool = True) -> DataFrame:
+        return views.transactions_after(self.store.read("transactions"), last, descending)
 
     def front_products(self) -> DataFrame:
         return views.front_products(self.store.read("top_products_revenue"))

@@ -9,13 +9,15 @@ from tillroll.operators import clean, customers
 from tillroll.sources.store import ResultStore
 
 
-def segment_shoppers(raw: DataFrame, layout: clean.Layout = ANY_LAYOUT) -> DataFrame:
+def segment_shoppers(raw: DataFrame, layout: clean.Layout = ANY_LAYOUT, ids_as_read: bool = False) -> DataFrame:
     """Customers with scores, segment and cluster number."""
-    base = customers.shopper_base(clean.shopper_lines(raw, layout))
+    base = customers.shopper_base(clean.shopper_lines(raw, layout, ids_as_read))
     return customers.shopper_segments(customers.shopper_scores(base))
 
 
-def run_segmentation(raw: DataFrame, store: ResultStore, layout: clean.Layout = ANY_LAYOUT) -> DataFrame:
+def run_segmentation(
+    raw: DataFrame, store: ResultStore, layout: clean.Layout = ANY_LAYOUT, ids_as_read: bool = False
+) -> DataFrame:
     """Write both results; return the statistics. They are computed from the customers as written."""
-    segmented = store.write(segment_shoppers(raw, layout), "customer_clusters")
+    segmented = store.write(segment_shoppers(raw, layout, ids_as_read), "customer_clusters")
     return store.write(customers.cluster_statistics(segmented), "cluster_statistics")

@@ -10,23 +10,26 @@ from tillroll.runtime import held
 from tillroll.sources.store import create_if_absent, use_database
 
 
-def build_warehouse(raw: DataFrame, database: str, layout: clean.Layout = ISO_LAYOUT) -> list[str]:
-    """Create the tables in ``database`` and return their names."""
-    use_database(raw.sparkSession, database)
-    fact = create_if_absent(clean.member_lines(raw, layout), "transactions")
+def build_warehouse(
+    raw: DataFrame, database: str, layout: clean.Layout = ISO_LAYOUT, partition_by: tuple[str, ...] = ()
+) -> list[str]:
+    """Create the tables in ``database`` and return their names. Nothing is computed for a table that exists."""
+    spark = raw.sparkSession
+    use_database(spark, database)
+    fact = create_if_absent(spark, "transactions", lambda: clean.member_lines(raw, layout), partition_by)
     with held(rollups.invoice_rollup(fact)) as invoices:
         reports = {
-            "monthly_revenue": revenue.monthly_by_invoices(invoices),
-            "daily_revenue": revenue.weekday_by_invoices(invoices),
-            "hourly_revenue": revenue.hourly_by_invoices(invoices),
-            "top_products_by_quantity": products.top_codes_by_quantity(fact),
-            "top_products_by_revenue": products.top_codes_by_revenue(fact),
-            "country_performance": geography.countries_by_invoices(invoices),
-            "monthly_trend": revenue.monthly_trend(invoices),
+            "monthly_revenue": lambda: revenue.monthly_by_invoices(invoices),
+            "daily_revenue": lambda: revenue.weekday_by_invoices(invoices),
+            "hourly_revenue": lambda: revenue.hourly_by_invoices(invoices),
+            "top_products_by_quantity": lambda: products.top_codes_by_quantity(fact),
+            "top_products_by_revenue": lambda: products.top_codes_by_revenue(fact),
+            "country_performance": lambda: geography.countries_by_invoices(invoices),
+            "monthly_trend": lambda: revenue.monthly_trend(invoices),
         }
         for name, report in reports.items():
-            create_if_absent(report, name)
-        rfm = create_if_absent(customers.rfm_by_invoices(invoices), "customer_rfm")
-    create_if_absent(customers.segment_statistics_by_value(rfm), "customer_segments")
-    create_if_absent(baskets.top_line_pairs(fact), "basket_analysis")
+            create_if_absent(spark, name, report)
+        rfm = create_if_absent(spark, "customer_rfm", lambda: customers.rfm_by_invoices(invoices))
+    create_if_absent(spark, "customer_segments", lambda: customers.segment_statistics_by_value(rfm))
+    create_if_absent(spark, "basket_analysis", lambda: baskets.top_line_pairs(fact))
     return ["transactions", *reports, "customer_rfm", "customer_segments", "basket_analysis"]

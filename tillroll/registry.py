@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tillroll.functions.columns import ANY_LAYOUT, ISO_LAYOUT, US_LAYOUT
 from tillroll.operators import (
     baskets,
     clean,
@@ -20,17 +21,25 @@ from tillroll.operators import (
     rollups,
     views,
 )
+from tillroll.plans.ledger import run_ledger
+from tillroll.plans.recommendations import run_recommendations
+from tillroll.plans.segmentation import run_segmentation
+from tillroll.runtime import fresh_path
 from tillroll.schema import RAW_COLUMNS
+from tillroll.sources.lines import declare_external, read_lines, with_times
 from tillroll.sources.star import star_lines, star_regions
+from tillroll.sources.store import ResultStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Everything but the description, whose table only some reports need.
+# Everything but the description, whose table only some reports need; and without the country, which needs two more tables.
 _BILLED = tuple(c for c in RAW_COLUMNS if c != "Description")
+_SOLD = tuple(c for c in _BILLED if c != "Country")
 _SEGMENT = "Champions"
 _CUSTOMER = "7"
 _HOME = "NATION_0"
+PART_SUPPORT = 0.0002  # single parts are bought together rarely
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -54,12 +63,16 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return star_lines(spark, folder)
 
 
-def _ledger(spark: SparkSession, folder: str) -> DataFrame:
+def _described_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return clean.ledger_lines(_raw(spark, folder))
 
 
-def _member(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.member_lines(star_lines(spark, folder, _BILLED))
+def _ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.ledger_lines(star_lines(spark, folder, _BILLED))
+
+
+def _member(spark: SparkSession, folder: str, columns: tuple[str, ...] = _BILLED) -> DataFrame:
+    return clean.member_lines(star_lines(spark, folder, columns))
 
 
 def _described_member(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,15 +87,40 @@ def _shopper(spark: SparkSession, folder: str) -> DataFrame:
     return clean.shopper_lines(star_lines(spark, folder, _BILLED))
 
 
-def _coded(spark: SparkSession, folder: str, code: str, rules: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Lines whose stock code is a coarser product code."""
-    raw = star_lines(spark, folder, (*RAW_COLUMNS, code))
-    return rules(raw.withColumn("StockCode", F.col(code)).drop(code))
+def _coded(spark: SparkSession, folder: str, code: str, *more: str) -> DataFrame:
+    """Member lines whose stock code is a coarser product code."""
+    raw = star_lines(spark, folder, (*_SOLD, *more, code))
+    return clean.member_lines(raw.withColumn("StockCode", F.col(code)).drop(code))
 
 
-def _basket(spark: SparkSession, folder: str, code: str = "PType") -> DataFrame:
+def _coded_raw(spark: SparkSession, folder: str, code: str) -> DataFrame:
     raw = star_lines(spark, folder, ("InvoiceNo", "StockCode", "Quantity", "Description", code))
-    return clean.basket_lines(raw.withColumn("StockCode", F.col(code)).drop(code))
+    return raw.withColumn("StockCode", F.col(code)).drop(code)
+
+
+def _basket(spark: SparkSession, folder: str, code: str = "PType") -> DataFrame:
+    return clean.basket_lines(_coded_raw(spark, folder, code))
+
+
+def _part_basket(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.basket_lines(star_lines(spark, folder, ("InvoiceNo", "StockCode", "Quantity", "Description")))
+
+
+def _texts(spark: SparkSession, folder: str, pattern: str) -> str:
+    """The raw lines as CSV files with a header and dates as text; returns their folder."""
+    path = fresh_path(spark)
+    lines = _raw(spark, folder).withColumn("InvoiceDate", F.date_format("InvoiceDate", pattern))
+    lines.write.option("header", True).csv(path)
+    return path
+
+
+def _in_order(report: DataFrame) -> DataFrame:
+    """A sorted report with the place of each row as it comes."""
+    return report.coalesce(1).withColumn("Place", F.monotonically_increasing_id() + 1)
+
+
+def _results(spark: SparkSession) -> ResultStore:
+    return ResultStore(spark, fresh_path(spark))
 
 
 def _segmented(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,7 +135,7 @@ def _transactions(spark: SparkSession, folder: str) -> DataFrame:
 # -- cleaning -------------------------------------------------------------------------------------------------------
 
 query("d1_merge_repeats")(lambda s, d: clean.merge_repeats(clean.ledger_lines_unmerged(_raw(s, d))))
-query("d2_ledger_lines")(_ledger)
+query("d2_ledger_lines")(_described_ledger)
 query("d3_member_lines")(_described_member)
 query("d4_shopper_lines")(_shopper)
 query("d5_basket_lines")(lambda s, d: clean.basket_lines(_raw(s, d)))
@@ -108,9 +146,35 @@ query("j1_with_key_totals")(
     )
 )
 query("x7_product_codes_only")(lambda s, d: clean.product_codes_only(_raw(s, d)))
-query("x8_without_exact_copies")(
-    lambda s, d: clean.without_exact_copies(star_lines(s, d, ("InvoiceNo", "Quantity", "Country")))
-)
+
+
+@query("x8_without_exact_copies")
+def _without_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines, and the larger ones a second time."""
+    lines = _raw(spark, folder)
+    return clean.without_exact_copies(lines.unionByName(lines.filter("Quantity >= 25")))
+
+
+# -- text files -----------------------------------------------------------------------------------------------------
+
+
+@query("s1_f1_csv_lines")
+def _csv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return with_times(read_lines(spark, _texts(spark, folder, ISO_LAYOUT)), ISO_LAYOUT)
+
+
+@query("f2_us_dates")
+def _us_dates(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read_lines(spark, _texts(spark, folder, US_LAYOUT))
+    return clean.shopper_lines(lines.drop("Description"), ANY_LAYOUT)
+
+
+@query("s3_external_lines")
+def _external(spark: SparkSession, folder: str) -> DataFrame:
+    path = _texts(spark, folder, ISO_LAYOUT)
+    return declare_external(spark, f"lines_{path.rsplit('/', 1)[1]}", path)
+
+
 
 # -- quality --------------------------------------------------------------------------------------------------------
 
@@ -126,11 +190,11 @@ query("s13_run_summary")(lambda s, d: quality.run_summary(_raw(s, d), _ledger(s,
 query("r1_monthly_by_lines")(lambda s, d: revenue.monthly_by_lines(_ledger(s, d)))
 query("r2_monthly_by_invoices")(lambda s, d: revenue.monthly_by_invoices(_member_invoices(s, d)))
 query("r3_weekday_by_lines")(lambda s, d: revenue.weekday_by_lines(_ledger(s, d)))
-query("r4_weekday_by_invoices")(lambda s, d: revenue.weekday_by_invoices(_member(s, d)))
+query("r4_weekday_by_invoices")(lambda s, d: revenue.weekday_by_invoices(_member(s, d, _SOLD)))
 query("r5_hourly_by_lines")(lambda s, d: revenue.hourly_by_lines(_ledger(s, d)))
-query("r6_hourly_by_invoices")(lambda s, d: revenue.hourly_by_invoices(_member(s, d)))
-query("r7_top_by_quantity")(lambda s, d: products.top_by_quantity(products.per_product(_ledger(s, d))))
-query("r8_top_by_revenue")(lambda s, d: products.top_by_revenue(products.per_product(_ledger(s, d))))
+query("r6_hourly_by_invoices")(lambda s, d: revenue.hourly_by_invoices(_member(s, d, _SOLD)))
+query("r7_top_by_quantity")(lambda s, d: products.top_by_quantity(_per_product(s, d)))
+query("r8_top_by_revenue")(lambda s, d: products.top_by_revenue(_per_product(s, d)))
 query("r9_top_codes_by_quantity")(lambda s, d: products.top_codes_by_quantity(_described_member(s, d)))
 query("r10_top_codes_by_revenue")(lambda s, d: products.top_codes_by_revenue(_described_member(s, d)))
 query("r11_countries_by_lines")(lambda s, d: geography.countries_by_lines(_ledger(s, d)))
@@ -138,11 +202,11 @@ query("r12_countries_by_invoices")(lambda s, d: geography.countries_by_invoices(
 query("r13_monthly_totals")(lambda s, d: revenue.monthly_totals(_ledger(s, d)))
 query("r14_monthly_trend")(lambda s, d: revenue.monthly_trend(_member_invoices(s, d)))
 query("r15_invoice_transactions")(_transactions)
-query("r16_overview")(lambda s, d: revenue.overview(_member(s, d)))
+query("r16_overview")(lambda s, d: revenue.overview(_member(s, d, _SOLD)))
 query("r17_top_spenders")(lambda s, d: customers.top_spenders(_member(s, d)))
-query("r18_repeat_purchases")(lambda s, d: products.repeat_purchases(_coded(s, d, "Brand", clean.member_lines)))
-query("x1_quarterly")(lambda s, d: revenue.quarterly(_member(s, d)))
-query("x2_top_by_orders")(lambda s, d: products.top_by_orders(_member(s, d)))
+query("r18_repeat_purchases")(lambda s, d: products.repeat_purchases(_coded(s, d, "Brand", "Description")))
+query("x1_quarterly")(lambda s, d: revenue.quarterly(_member(s, d, _SOLD)))
+query("x2_top_by_orders")(lambda s, d: products.top_by_orders(_member(s, d, _SOLD)))
 query("x9_customers_per_region")(lambda s, d: geography.customers_per_region(_member(s, d), star_regions(s, d)))
 query("x9_markets_abroad")(lambda s, d: geography.countries_by_invoices(_member_invoices(s, d), except_home=_HOME))
 
@@ -216,14 +280,53 @@ def _product_rules(spark: SparkSession, folder: str) -> DataFrame:
     return baskets.product_rules(baskets.mine(lines, 0.01, 0.2).rules, lines)
 
 
-query("b7_brand_line_pairs")(lambda s, d: baskets.top_line_pairs(_coded(s, d, "Brand", clean.member_lines)))
-query("b7_part_line_pairs")(lambda s, d: baskets.top_line_pairs(_member(s, d), more_than=1))
+query("b7_brand_line_pairs")(lambda s, d: baskets.top_line_pairs(_coded(s, d, "Brand")))
+query("b7_part_line_pairs")(lambda s, d: baskets.top_line_pairs(_member(s, d, _SOLD), more_than=1))
+
+
+@query("b3_part_itemsets")
+def _part_itemsets(spark: SparkSession, folder: str) -> DataFrame:
+    itemsets = baskets.mine(_part_basket(spark, folder), PART_SUPPORT, 0.2).itemsets
+    return itemsets.select(_joined("items").alias("Items"), F.col("freq").alias("Freq"))
+
+
+@query("b5_part_pairs")
+def _part_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _part_basket(spark, folder)
+    return baskets.item_pairs(baskets.mine(lines, PART_SUPPORT, 0.2).itemsets, lines)
+
+
+# -- whole runs: written, then read back ----------------------------------------------------------------------------
+
+
+@query("r19_ledger_run")
+def _ledger_run(spark: SparkSession, folder: str) -> DataFrame:
+    store = _results(spark)
+    run_ledger(_raw(spark, folder), store)
+    return store.read("monthly_revenue")
+
+
+@query("c9_segmentation_run")
+def _segmentation_run(spark: SparkSession, folder: str) -> DataFrame:
+    store = _results(spark)
+    run_segmentation(_raw(spark, folder), store)
+    return store.read("cluster_statistics")
+
+
+@query("b8_recommendation_run")
+def _recommendation_run(spark: SparkSession, folder: str) -> DataFrame:
+    store = _results(spark)
+    run_recommendations(_coded_raw(spark, folder, "PType"), store)
+    return store.read("product_recommendations")
+
+
+query("l1_countries_in_order")(lambda s, d: _in_order(geography.countries_by_lines(_ledger(s, d))))
 
 # -- dashboard reads ------------------------------------------------------------------------------------------------
 
 
 def _per_product(spark: SparkSession, folder: str) -> DataFrame:
-    return products.per_product(_ledger(spark, folder))
+    return products.per_product(_described_ledger(spark, folder))
 
 
 def _by_quantity(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,12 +20,17 @@ def cut_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tillroll-{spark.sparkContext.applicationId}"
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A path below ``cut_folder`` that nothing uses yet."""
+    return f"{cut_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, write it as a table and go on from the table.
 
     The files outlive executors, later steps read only the columns they need, and the planner knows their size.
     """
-    path = f"{cut_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

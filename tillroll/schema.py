@@ -2,8 +2,8 @@
 
 from pyspark.sql import types as T
 
-# Unit prices keep four places so that sub-cent list prices survive; amounts are whole cents.
-PRICE = T.DecimalType(18, 4)
+# Prices are multiplied and added with ten places, and stay as read in their own column; amounts are whole cents.
+PRICE = T.DecimalType(27, 10)
 MONEY = T.DecimalType(18, 2)
 
 RAW_COLUMNS = (

@@ -20,7 +20,8 @@ def read_lines(spark: SparkSession, path: str, keep_bad: bool = False) -> DataFr
     With ``keep_bad`` the original text of malformed rows is returned in ``_bad_record``.
     """
     schema = raw_schema()
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    # Header names are checked against the schema: a file with another order of columns fails instead of being misread.
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", keep_bad)
     if keep_bad:
         schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", BAD_RECORD)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,10 +55,17 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
-def create_if_absent(df: DataFrame, table: str) -> DataFrame:
-    """Create a table from a query unless the table exists."""
-    df.write.mode("ignore").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def create_if_absent(
+    spark: SparkSession, table: str, made: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Create a table from a query unless the table exists (S5). ``made`` is not called if it does."""
+    if not spark.catalog.tableExists(table):
+        df = made()
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.mode("ignore").format("parquet")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    return spark.table(table)
 
 
 def table_names(spark: SparkSession) -> list[str]:
