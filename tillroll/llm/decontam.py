@@ -1,12 +1,12 @@
 """Benchmark decontamination by a positional inverted index of the training tokens.
 
-The index holds a posting (document, position, term) for every training token whose term occurs in a test item; other terms
-cannot take part in a match. It is stored as a table. A query starts from the rarest terms: of every window of ten
-item words the term with the fewest postings is its anchor, so a document that holds the window has the anchor's posting at the
-window's offset. Position less item position is the alignment of a document with an item. Postings of the aligned
-documents are then intersected with the items' words by (document, item, alignment), that is with lists shifted by
-their offsets. Runs of consecutive common positions are phrases; common positions of an alignment within a span are proximity matches.
-Everything is DataFrame operations.
+A posting is a training token at its position, with the two tokens after it (a next-word index: single common words would
+have more postings than can be intersected). The index stores the postings whose three words some test item has in a row, as other
+postings take part in no match; items of one or two words are looked up by those. Position less item position is the alignment of a
+document with an item. A query starts from the rarest terms: of every window of ten item words the entry with the fewest postings is
+the anchor, and the alignments of anchor postings are the only ones at which the window can stand. The other postings, shifted by
+their offsets, are intersected with these. Runs of consecutive common positions are phrases; common positions of an alignment that
+cover most of an item are proximity matches. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillroll.runtime import cut
 
 WINDOW = 10
+NEXT = 3  # words of a posting
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -27,58 +28,65 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lowered, _BREAK), lambda w: w != "")
 
 
-def item_words(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(item, at, term, n, span): every word of every distinct item, its number of words and its window's length."""
-    cut_up = items.select(F.col(item).alias("item"), words(F.col(text)).alias("w")).distinct()
-    cut_up = cut_up.withColumn("copy", F.xxhash64("w")).withColumn("n", F.size("w"))
-    spread = cut_up.select("item", "copy", "n", F.least("n", F.lit(window)).alias("span"), F.posexplode("w"))
+def _entries(spread: Column, size: int) -> Column:
+    """Hashes of every ``size`` consecutive word hashes of an array, none if it is shorter."""
+    at = F.sequence(F.lit(1), F.size(spread) - size + 1)
+    keys = F.transform(at, lambda i: F.xxhash64(F.lit(size), *[F.element_at(spread, i + k) for k in range(size)]))
+    return F.when(F.size(spread) >= size, keys).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda w: F.xxhash64(w))
+
+
+def item_terms(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """(item, copy, at, term, size, n, span): the index entries of every distinct item by position. ``size`` is the words of an
+    entry, ``n`` the entries of the item and ``span`` those of a window."""
+    cut_up = items.select(F.col(item).alias("item"), _hashes(F.col(text)).alias("w")).distinct().where(F.size("w") > 0)
+    cut_up = cut_up.withColumn("copy", F.xxhash64("w")).withColumn("size", F.least(F.lit(min(NEXT, window)), F.size("w")))
+    entries = F.lit(None).cast("array<bigint>")
+    for size in range(1, NEXT + 1):
+        entries = F.when(F.col("size") == size, _entries(F.col("w"), size)).otherwise(entries)
+    span = F.least(F.size("w"), F.lit(window)) - F.col("size") + 1
+    spread = cut_up.select("item", "copy", "size", (F.size("w") - F.col("size") + 1).alias("n"), span.alias("span"), F.posexplode(entries))
     return spread.withColumnsRenamed({"pos": "at", "col": "term"})
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Store and return the postings (doc, content, pos, term), of the terms in ``vocabulary`` (term) if given.
+def build_index(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Store and return the postings (doc, content, pos, term) of the entries in ``terms`` (term, size).
 
     ``content`` is a hash of the text: rows that repeat a key with another text stay apart, equal rows are one.
     """
-    source = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("content"), F.posexplode(words(F.col(text))))
-    postings = source.withColumnsRenamed({"col": "term"})
-    if vocabulary is not None:
-        postings = postings.join(vocabulary.select("term").distinct(), "term", "left_semi")
-    return cut(postings)
+    sizes = sorted(r[0] for r in terms.select("size").distinct().collect())  # three at most
+    hashed = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("content"), _hashes(F.col(text)).alias("w"))
+    vocabulary = terms.select("term").distinct()
+    postings = None
+    for size in sizes or [1]:
+        spread = hashed.select("doc", "content", F.posexplode(_entries(F.col("w"), size))).withColumnRenamed("col", "term")
+        found = spread.join(vocabulary, "term", "left_semi")
+        postings = found if postings is None else postings.unionByName(found)
+    return cut(postings.select("doc", "content", "pos", "term"))
 
 
 def _anchors(terms: DataFrame, index: DataFrame) -> DataFrame:
-    """(item, copy, at, term) of the positions that are the rarest of some window of their item."""
+    """(item, copy, at, term): the entries that are the rarest of some window of their item."""
     counts = index.groupBy("term").agg(F.count("*").alias("df"))
     known = cut(terms.join(counts, "term", "left").withColumn("df", F.coalesce("df", F.lit(0))))
-    # A word is an anchor if it is the first rarest of one of the windows that hold it.
-    starts = known.withColumn(
-        "start",
-        F.explode(
-            F.sequence(
-                F.greatest(F.lit(0), F.col("at") - F.col("span") + 1), F.least(F.col("at"), F.col("n") - F.col("span"))
-            )
-        ),
-    )
-    best = starts.groupBy("item", "copy", "start").agg(
-        F.min(F.struct("df", "at", "term")).alias("rarest"), F.count("*").alias("present")
-    )
-    return best.where("rarest.df > 0").select("item", "copy", F.col("rarest.at").alias("at"), F.col("rarest.term").alias("term")).distinct()
+    first = F.greatest(F.lit(0), F.col("at") - F.col("span") + 1)
+    starts = known.withColumn("start", F.explode(F.sequence(first, F.least(F.col("at"), F.col("n") - F.col("span")))))
+    rarest = starts.groupBy("item", "copy", "start").agg(F.min(F.struct("df", "at", "term")).alias("rarest"))
+    # A window with an entry that no document has does not occur.
+    return rarest.where("rarest.df > 0").select("item", "copy", "rarest.at", "rarest.term").distinct()
 
 
 def aligned(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc, content, item, copy, n, span, shift, at): item positions whose word the document has at ``at + shift``,
+    """(doc, content, item, copy, size, n, span, shift, at): item positions whose entry the document has at ``at + shift``,
     for every alignment at which an anchor matches."""
-    anchors = _anchors(terms, index)
-    shifts = index.join(anchors, "term").select(
-        "doc", "content", "item", "copy", (F.col("pos") - F.col("at")).alias("shift")
-    )
-    shifts = cut(shifts.distinct())
-    members = shifts.select("doc", "content").distinct()
-    near = index.join(members, _same(index, members, "doc", "content"), "left_semi")
-    pairs = near.join(terms, "term").withColumn("shift", F.col("pos") - F.col("at"))
-    on = ("doc", "content", "item", "copy", "shift")
-    return pairs.join(shifts, _same(pairs, shifts, *on), "left_semi").select(*on, "n", "span", "at").distinct()
+    by = ("doc", "content", "item", "copy", "shift")
+    shift = (F.col("pos") - F.col("at")).alias("shift")
+    shifts = index.join(_anchors(terms, index), "term").select("doc", "content", "item", "copy", shift).distinct()
+    pairs = index.join(terms, "term").select("doc", "content", "item", "copy", "size", "n", "span", shift, "at")
+    return pairs.join(shifts, _same(pairs, shifts, *by), "left_semi").distinct()
 
 
 def _same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
@@ -93,15 +101,16 @@ def phrase_matches(index: DataFrame, terms: DataFrame) -> DataFrame:
     by = ("doc", "content", "item", "copy", "shift")
     order = Window.partitionBy(*by).orderBy("at")
     runs = aligned(index, terms).withColumn("island", F.col("at") - F.row_number().over(order))
-    runs = runs.groupBy(*by, "island").agg(
-        F.min("at").alias("a"), F.max("at").alias("b"), F.count("*").alias("length"), F.first("span").alias("span")
+    runs = runs.groupBy(*by, "size", "span", "island").agg(
+        (F.min("at") + F.col("shift")).alias("start"),
+        (F.max("at") + F.col("shift") + F.col("size") - 1).alias("end"),
+        F.count("*").alias("length"),
     )
-    runs = runs.where("length >= span")
-    return runs.select("doc", "content", "item", (F.col("a") + F.col("shift")).alias("start"), (F.col("b") + F.col("shift")).alias("end"))
+    return runs.where("length >= span").select("doc", "content", "item", "start", "end")
 
 
 def proximity_matches(index: DataFrame, terms: DataFrame, share: float = 0.8) -> DataFrame:
-    """(doc, content, item, shift, hits): alignments at which at least ``share`` of an item's words stand in place."""
+    """(doc, content, item, shift, hits): alignments at which at least ``share`` of an item's entries stand in place."""
     by = ("doc", "content", "item", "copy", "shift", "n")
     counted = aligned(index, terms).groupBy(*by).agg(F.count("*").alias("hits"))
     return counted.where(F.col("hits") >= share * F.col("n")).drop("copy", "n")
@@ -114,7 +123,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     without an id counts as a hit but is not listed. Repeated rows get equal results. Other columns of either
     table are not read. Without items every document is clean; without documents there are no rows.
     """
-    terms = cut(item_words(items, window=window))
+    terms = cut(item_terms(items, window=window))
     index = build_index(docs, terms)
     spans = phrase_matches(index, terms)
     by = ("doc", "content")
@@ -141,7 +150,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without a word inside an item's window, all columns; a repeated row stays repeated."""
-    terms = cut(item_words(items, window=window))
+    terms = cut(item_terms(items, window=window))
     hits = phrase_matches(build_index(docs, terms), terms).select("doc", "content").distinct()
     same = docs["doc_id"].eqNullSafe(hits["doc"]) & (F.xxhash64(docs["text"]) == hits["content"])
     return docs.join(hits, same, "left_anti")
