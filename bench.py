@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.plans.dashboard import Dashboard
 from tillroll.plans.ledger import run_ledger
 from tillroll.plans.recommendations import run_recommendations
 from tillroll.plans.segmentation import run_segmentation
@@ -75,8 +76,22 @@ def runs(spark: SparkSession, work: str) -> dict[str, Callable[[], None]]:
         lines = star_lines(spark, FOLDER, ("InvoiceNo", "StockCode", "Quantity", "Description", "PType"))
         run_recommendations(lines.withColumn("StockCode", F.col("PType")), store)
 
+    def pages() -> dict[str, Callable[[], None]]:
+        """Dashboard reads over the results that the runs have written."""
+        board = Dashboard(store)
+        last = {"TotalAmount": 1000.0, "InvoiceNo": "0", "CustomerID": "", "Country": ""}
+        return {
+            "page_overview": lambda: computed(board.overview()[0]),
+            "page_customers": lambda: computed(board.customers(2)[0]),
+            "page_customers_after": lambda: computed(board.customers_after("500")),
+            "page_transactions": lambda: computed(board.transactions(3)[0]),
+            "page_transactions_after": lambda: computed(board.transactions_after(last)),
+            "page_revenue": lambda: computed(board.revenue()[0]),
+            "page_countries": lambda: computed(board.countries()[0]),
+        }
+
     queries = {name: lambda name=name: computed(QUERIES[name](spark, FOLDER)) for name in HEADLINE}
-    return {"ledger_run": ledger, "segmentation_run": segmentation, "recommendation_run": recommendations, **queries}
+    return {"ledger_run": ledger, "segmentation_run": segmentation, "recommendation_run": recommendations, **pages(), **queries}
 
 
 def median_seconds(work: Callable[[], None]) -> float:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import clean, quality
@@ -108,3 +109,64 @@ def test_quality_profiles(raw):
 def test_run_summary(raw):
     summary = quality.run_summary(raw, clean.ledger_lines(raw)).first()
     assert tuple(summary) == (8, 5, 3, 48.14)
+
+
+def _lines(spark, rows):
+    from tillroll.schema import raw_schema
+
+    return spark.createDataFrame(rows, raw_schema())
+
+
+def test_prices_keep_every_digit(spark):
+    day = "2010-12-01 08:26:00"
+    raw = _lines(spark, [("1", "A", "x", 100_000, day, 0.00004, 1.0, "F"), ("2", "A", "x", 3, day, 1.23456789, 1.0, "F")])
+    for rules in (clean.ledger_lines, clean.member_lines):
+        found = {r.InvoiceNo: (r.UnitPrice, float(r.TotalAmount)) for r in rules(raw).collect()}
+        assert found == {"1": (0.00004, 4.0), "2": (1.23456789, 3.7)}
+    exact = {r.InvoiceNo: float(r.TotalAmount) for r in clean.shopper_lines(raw).collect()}
+    assert exact == {"1": 4.0, "2": 3.70370367}
+
+
+def test_text_ids_stay_apart(spark):
+    day = "2010-12-01 08:26:00"
+    raw = _lines(spark, [("1", "A", "x", 1, day, 1.0, None, "F")] * 4).drop("CustomerID")
+    ids = spark.createDataFrame([("AB12",), (" CD34 ",), ("17850.0",), ("",)], "CustomerID string")
+    raw = raw.limit(1).crossJoin(ids)
+    assert sorted(r.CustomerID for r in clean.member_lines(raw).collect()) == ["17850", "AB12", "CD34"]
+    assert sorted(r.CustomerID for r in clean.ledger_lines_unmerged(raw).collect()) == ["17850", "AB12", "CD34", "unknown"]
+
+
+def test_a_file_with_other_columns_is_not_misread(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text("StockCode,InvoiceNo,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\nA,1,x,1,2010-12-01 08:26:00,1,1,F\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_lines(spark, str(path)).collect()
+
+
+def test_us_dates_are_no_violation(spark):
+    raw = _lines(spark, [("1", "A", "x", 1, d, 1.0, 1.0, "F") for d in ("12/1/2010 8:26", "2010-12-01 08:26:00", "soon")])
+    found = {r.Rule: r.Violations for r in quality.rule_violations(raw).collect()}
+    assert found["InvoiceDate is not timestamp"] == 1
+
+
+def test_a_key_with_a_third_of_the_lines_is_split_in_the_join(spark):
+    """The totals are a written table, so adaptive execution may split the lines of a hot key."""
+    lines = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("i"), F.col("id"))).alias("InvoiceNo"),
+        F.lit("A").alias("StockCode"), F.lit(1).alias("Quantity"), F.lit(1).cast("decimal(18,2)").alias("TotalAmount"),
+        F.sha2(F.col("id").cast("string"), 256).alias("Description"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = clean.with_key_totals(lines)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

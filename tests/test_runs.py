@@ -132,3 +132,25 @@ def test_runs_from_staged_text(spark, raw, tmp_path):
 
 def test_missing_store_folder_has_no_results(spark, tmp_path):
     assert ResultStore(spark, str(tmp_path / "none")).names() == []
+
+
+def test_overview_counts_absent_results_as_zero(spark, tmp_path):
+    sizes, split = Dashboard(ResultStore(spark, str(tmp_path / "none"))).overview()
+    assert tuple(sizes.first()) == (0, 0, 0) and split is None
+
+
+def test_dashboard_pages_after_and_limits(filled):
+    board = Dashboard(filled[0])
+    first = board.customers(1)[0].collect()
+    assert board.customers_after(first[-1].CustomerID).collect()[0].CustomerID > first[-1].CustomerID
+    assert board.first_customers(7).count() == 7 and board.first_countries(3).count() == 3
+    assert board.overview()[1].count() == board.customers()[2].count()
+
+
+def test_existing_tables_cost_nothing(spark):
+    from tillroll.sources.store import create_if_absent
+
+    spark.range(3).selectExpr("id", "id % 2 AS part").createOrReplaceTempView("three")
+    made = create_if_absent(spark, "parted", lambda: spark.table("three"), ("part",))
+    assert made.count() == 3
+    assert create_if_absent(spark, "parted", lambda: pytest.fail("was computed")).count() == 3

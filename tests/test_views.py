@@ -91,3 +91,16 @@ def test_details_join_ids_written_with_a_decimal_part(spark):
 def test_last_rows_are_returned_in_ascending_order(spark):
     assert [r.id for r in views.last_rows(spark.range(50), 3, "id").collect()] == [47, 48, 49]
     assert preview(spark.range(50), 4).count() == 4
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_pages_after_a_row_follow_the_numbered_pages(spark, descending):
+    rows = [(float(i % 7), f"i{i:03d}", "c", "x", 1) for i in range(65)]
+    table = spark.createDataFrame(rows, "TotalAmount double, InvoiceNo string, CustomerID string, Country string, Hour int")
+    seen = [r.InvoiceNo for n in (1, 2, 3, 4) for r in views.transactions_page(table, n, descending).orderBy("Position").collect()]
+    walked = views.transactions_page(table, 1, descending).orderBy("Position").collect()
+    listed = [r.InvoiceNo for r in walked]
+    while walked:
+        walked = views.transactions_after(table, walked[-1].asDict(), descending).collect()
+        listed += [r.InvoiceNo for r in walked]
+    assert listed == seen and len(seen) == 65
