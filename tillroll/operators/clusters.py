@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
@@ -15,6 +14,7 @@ from tillroll.runtime import cut, held
 from tillroll.schema import MONEY
 
 METRICS = ("Recency", "Frequency", "Monetary")
+ROUNDS = 10
 
 
 def _features(rfm: DataFrame) -> DataFrame:
@@ -32,18 +32,50 @@ def standardised(rfm: DataFrame) -> DataFrame:
     return _features(rfm).withColumns(named).drop("features")
 
 
-def elbow(rfm: DataFrame, ks: Iterable[int] = range(2, 9), seed: int = 1) -> DataFrame:
+Centre = tuple[float, ...]
+
+
+def _starts(k: int) -> list[Centre]:
+    """Starting centres on the line from lapsed customers to the best: no chance, and no dependence on how rows are dealt out."""
+    places = [-1 + 2 * i / max(1, k - 1) for i in range(k)]
+    return [(-t, t, t) for t in places]
+
+
+def _nearest(centres: Sequence[Centre]) -> Column:
+    """(distance, number) of the nearest centre, the lower number winning a tie."""
+    away = []
+    for number, centre in enumerate(centres):
+        parts = [(F.col(f"{m}Scaled") - x) * (F.col(f"{m}Scaled") - x) for m, x in zip(METRICS, centre, strict=True)]
+        away.append(F.struct(sum(parts[1:], parts[0]).alias("distance"), F.lit(number).alias("number")))
+    return F.array_min(F.array(*away))
+
+
+def _centres(points: DataFrame, ks: Iterable[int], rounds: int) -> dict[int, list[Centre]]:
+    """Centres after ``rounds`` steps of K-Means for every k at once; a step is one aggregate with a row for each centre."""
+    centres = {k: _starts(k) for k in ks}
+    scaled = [f"{m}Scaled" for m in METRICS]
+    for _ in range(rounds):
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(c)["number"].alias("n")) for k, c in centres.items()]))
+        means = points.select(*scaled, each.alias("at")).groupBy("at.k", "at.n").agg(*[F.avg(c).alias(c) for c in scaled])
+        for row in means.collect():
+            centres[row["k"]][row["n"]] = tuple(row[c] for c in scaled)
+    return centres
+
+
+def elbow(rfm: DataFrame, ks: Sequence[int] = range(2, 9), rounds: int = ROUNDS) -> DataFrame:
     """Within-cluster cost for each k, to choose k by the elbow."""
-    with held(_features(rfm).select("features")) as features:
-        costs = [(k, KMeans(k=k, seed=seed).fit(features).summary.trainingCost) for k in ks]
-    return rfm.sparkSession.createDataFrame(costs, "K int, Cost double").orderBy("K")
+    with held(standardised(rfm)) as points:
+        centres = _centres(points, ks, rounds)
+        costs = points.agg(*[F.sum(_nearest(c)["distance"]).alias(str(k)) for k, c in centres.items()]).first()
+    return rfm.sparkSession.createDataFrame([(k, costs[str(k)]) for k in ks], "K int, Cost double").orderBy("K")
 
 
-def clustered(rfm: DataFrame, k: int = 4, seed: int = 1) -> DataFrame:
+def clustered(rfm: DataFrame, k: int = 4, rounds: int = ROUNDS) -> DataFrame:
     """Customers with their K-Means cluster."""
-    with held(_features(rfm)) as features:
-        model = KMeans(k=k, seed=seed, predictionCol="Cluster").fit(features)
-        return model.transform(features).drop("features")
+    points = standardised(rfm)
+    with held(points) as kept:
+        centres = _centres(kept, [k], rounds)[k]
+    return points.withColumn("Cluster", _nearest(centres)["number"]).drop(*[f"{m}Scaled" for m in METRICS])
 
 
 def cluster_profile(customers: DataFrame) -> DataFrame:

@@ -236,7 +236,9 @@ def _standardised(spark: SparkSession, folder: str) -> DataFrame:
     return scaled.select("CustomerID", *[F.round(f"{m}Scaled", 6).alias(f"{m}Scaled") for m in clusters.METRICS])
 
 
-query("x4_elbow")(lambda s, d: clusters.elbow(customers.shopper_base(_shopper(s, d))))
+query("x4_elbow")(
+    lambda s, d: clusters.elbow(customers.shopper_base(_shopper(s, d))).withColumn("Cost", F.round("Cost", 6))
+)
 query("x5_cluster_profile")(
     lambda s, d: clusters.cluster_profile(clusters.clustered(customers.shopper_base(_shopper(s, d))))
 )
