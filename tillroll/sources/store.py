@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+_NAMES = "result_names"  # a row for each result, so that listing them needs no access to the file system
+
 
 @dataclass(frozen=True)
 class ResultStore:
@@ -32,6 +35,8 @@ class ResultStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(name))
+        named = self.spark.createDataFrame([(name,)], "name string").coalesce(1)
+        named.write.mode("overwrite").parquet(f"{self.path(_NAMES)}/of={name}")
         return self.spark.read.format(self.format).schema(df.schema).options(**self.options).load(self.path(name))
 
     def read(self, name: str) -> DataFrame:
@@ -39,14 +44,14 @@ class ResultStore:
         return self.spark.read.format(self.format).options(**self.options).load(self.path(name))
 
     def names(self) -> list[str]:
-        """Names of the results present (S10), by the file system the folder lives on."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(folder):
+        """Names of the results that have been written."""
+        try:
+            found = self.spark.read.schema("name string").parquet(self.path(_NAMES)).distinct().collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        found = (s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory())
-        return sorted(n for n in found if not n.startswith(("_", ".")))
+        return sorted(row["name"] for row in found)
 
 
 def use_database(spark: SparkSession, name: str) -> None:
