@@ -25,6 +25,7 @@ SHARE = 1.5  # words taken, as a share of all words
 MOST = 2.0  # copies of a source at most
 WEIGHTS = (3.0, 1.0, 2.0)
 CHUNK = 32
+SALTS = 64
 LARGE = 1000  # a document of over 1 / LARGE of its source's words is folded first
 _NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -211,6 +212,13 @@ def rounded(fractions: DataFrame, key: str) -> DataFrame:
     return out
 
 
+def _with_source(frame: DataFrame, facts: DataFrame) -> DataFrame:
+    """Join facts by source. A source may hold a third of the documents, so each is dealt to SALTS keys by document."""
+    facts = facts.withColumnRenamed("source", "of").withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = frame.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "doc", "nth"), F.lit(SALTS)).cast("int"))
+    return salted.join(facts, F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("of_salt"))).drop("of", "of_salt", "salt")
+
+
 def mixed(docs: DataFrame, share: float = SHARE, most: float = MOST, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, nth, size, source_size, target, taken.
 
@@ -228,12 +236,8 @@ def mixed(docs: DataFrame, share: float = SHARE, most: float = MOST, weights: tu
     goals = goals.join(sizes.select(F.col("source").alias("s"), "rows"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     goals = cut(goals.withColumn("whole", F.floor(ratio + 1e-12)).withColumn("frac", F.greatest(F.lit(0.0), ratio - F.col("whole"))))
 
-    def with_source(frame: DataFrame, facts: DataFrame) -> DataFrame:
-        facts = facts.withColumnRenamed("source", "of")
-        return frame.join(facts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-
     large = F.col("size") * LARGE >= F.col("source_size")
-    open_rows = with_source(rows.where("size > 0"), goals.select("source", "source_size", "frac"))
+    open_rows = _with_source(rows.where("size > 0"), goals.select("source", "source_size", "frac"))
     by_size = F.array_sort(
         F.collect_list(F.struct((-F.col("size")).alias("order"), "doc", "nth", "size", F.lit(0.0).alias("p")))
     )
@@ -254,25 +258,27 @@ def mixed(docs: DataFrame, share: float = SHARE, most: float = MOST, weights: tu
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), light_p)).alias("p"),
         F.ceil(F.col("rows") / CHUNK).alias("chunks"),
     )
-    light_rows = with_source(rows.where("size > 0"), light).where(~large)
+    light_rows = _with_source(rows.where("size > 0"), light).where(~large)
     bits = rounded(light_rows.select("source", "doc", "nth", "size", "p", "chunks"), key)
     columns = ("source", "doc", "nth", "size", "p")
     idle = rows.where("size = 0").withColumn("p", F.lit(0.0))
     every = bits.select(*columns).unionByName(heavy_rows.select(*columns)).unionByName(idle.select(*columns))
     taken = (F.col("size") * (F.col("whole") + F.round("p").cast("long"))).cast("long")
-    named = with_source(every, goals.select("source", "source_size", "target", "whole"))
+    named = _with_source(every, goals.select("source", "source_size", "target", "whole"))
     return named.select(F.col("doc").alias("doc_id"), "source", "nth", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with all columns and size, source_size, target, taken."""
-    size = word_count(F.col("text"))
+    """The rows of ``docs`` that the mix takes, with all columns and mix_size, mix_source_size, mix_target, mix_taken."""
     order = [c for c in docs.columns if c not in ("doc_id", "source")]
-    numbered = docs.withColumn("_size", size)
-    numbered = numbered.withColumn("_nth", F.row_number().over(_window("doc_id", "source", "_size").orderBy(*order)))
-    chosen = mixed(docs).where("taken > 0").withColumnsRenamed({"doc_id": "_doc", "source": "_source"})
+    numbered = docs.withColumn("mix_size", word_count(F.col("text")))
+    numbered = numbered.withColumn("mix_nth", F.row_number().over(_window("doc_id", "source", "mix_size").orderBy(*order)))
+    chosen = mixed(docs.select("doc_id", "text", "source")).where("taken > 0")
+    chosen = chosen.select(*[F.col(c).alias(f"of_{c}") for c in chosen.columns])
+    facts = ("source_size", "target", "taken")
+    chosen = chosen.withColumnsRenamed({f"of_{c}": f"mix_{c}" for c in facts})
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_size") == F.col("size")) & (F.col("_nth") == F.col("nth"))
+        numbered["doc_id"].eqNullSafe(chosen["of_doc_id"]) & numbered["source"].eqNullSafe(chosen["of_source"])
+        & (numbered["mix_size"] == chosen["of_size"]) & (numbered["mix_nth"] == chosen["of_nth"])
     )
-    return numbered.join(chosen, same).select(*docs.columns, "size", "source_size", "target", "taken")
+    return numbered.join(chosen, same).select(*docs.columns, "mix_size", *[f"mix_{c}" for c in facts])
