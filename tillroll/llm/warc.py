@@ -130,7 +130,10 @@ def page_captures(pages: DataFrame) -> DataFrame:
     short = F.create_map(F.lit("content-length"), F.lit("0"), F.lit("last-modified"), modified, F.lit("cache-control"), F.lit("max-age=600"))
     tagged = F.map_concat(short, F.create_map(F.lit("etag"), F.regexp_replace(tag, "^W/", "")))
     nothing = F.lit(None).cast("string")
-    first = pages.select((page * 2).alias("record_id"), "url", date.alias("date"), F.lit("response").alias("kind"), F.lit(200).alias("status"), full.alias("headers"), nothing.alias("digest"))
+    first = pages.select(
+        (page * 2).alias("record_id"), "url", date.alias("date"), F.lit("response").alias("kind"), F.lit(200).alias("status"),
+        full.alias("headers"), nothing.alias("digest"),
+    )
     second = pages.select(
         (page * 2 + 1).alias("record_id"), "url", again.alias("date"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
         F.when(page % 7 == 0, short).otherwise(tagged).alias("headers"), nothing.alias("digest"),

@@ -77,10 +77,6 @@ class Words:
     def of(self, text: int) -> slice:
         return slice(int(self.first[text]), int(self.first[text + 1]))
 
-    def joined(self, text: int) -> bytes:
-        """The bytes of one text, lower-cased."""
-        return self.data[self.offsets[text] : self.offsets[text + 1]].tobytes()
-
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that each holds about a megabyte of text, or one longer text."""
