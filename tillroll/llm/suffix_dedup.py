@@ -1,15 +1,15 @@
 """Passages repeated across documents, with a sparse suffix array.
 
 Suffixes of the corpus are kept only where a document has a minimiser: the smallest hash of eight consecutive words among 43 neighbours.
-Any 50 consecutive words hold one, at the same word in every copy. A kept suffix is a row with the words that follow
-and, backwards, the words that precede it, as 16-bit hashes, up to the farthest word that can belong to such a passage. Spark sorts
+Any 50 consecutive words hold one, at the same word in every copy. Suffixes whose eight words stand in one document only match nothing
+and are left out before anything wide is made. A kept suffix is a row with the words that follow
+and, backwards, the words that precede it, as 32-bit hashes, up to the farthest word that can belong to such a passage. Spark sorts
 these rows by content in ranges, so that a passage of which there are very many copies spans several tasks, and
 each row is compared with its neighbours of another document: the match is extended to the right and to the left, and a match of 50 words or more is
 reported for both. Within a batch, rows with the same eight words are also compared in the order of what precedes them.
 The first and last rows of every range are compared in a second, small pass.
 
-A match longer than its context is covered by the next minimisers, which lie at most 43 words on. Hashes of 16 bits let a match end a word too late in
-one of 30,000 cases.
+A match longer than its context is covered by the next minimisers, which lie at most 43 words on.
 """
 
 from __future__ import annotations
@@ -45,39 +45,55 @@ def _context(tags: np.ndarray, at: np.ndarray, first: int, last: int, step: int,
     """Word tags from ``at`` on in steps, 0 beyond the document's words ``first`` to ``last``; big-endian, to sort as bytes."""
     places = at[:, None] + step * np.arange(size)[None, :]
     inside = (places >= first) & (places < last)
-    return np.where(inside, tags[np.where(inside, places, 0)], 0).astype(">u2")
+    return np.where(inside, tags[np.where(inside, places, 0)], 0).astype(">u4")
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    size = rows.shape[1] * 2
+    size = rows.shape[1] * 4
     data = pa.py_buffer(np.ascontiguousarray(rows).tobytes())
     offsets = pa.py_buffer((np.arange(len(rows) + 1, dtype=np.int32) * size).tobytes())
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, data])
 
 
+def _places(least: int):
+    """(doc, pos, gram) of the minimisers of a batch of (doc, text)."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in pieces(batches):
+            words = Words(batch.column("text"), SPACES)
+            hashes = words.hashes()
+            rows, places, grams = [], [], []
+            for i in range(batch.num_rows):
+                found = gram_hashes(hashes[words.of(i)], GRAM)
+                at = minimisers(found, least - GRAM + 1)
+                rows.append(np.full(len(at), i))
+                places.append(at)
+                grams.append(found[at])
+            docs = batch.column("doc").take(pa.array(np.concatenate(rows)))
+            at = pa.array(np.concatenate(places).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([docs, at, pa.array(np.concatenate(grams).view(np.int64))], ["doc", "pos", "gram"])
+
+    return run
+
+
 def _suffixes(least: int):
-    """Rows of SUFFIX and the key for a batch of (key, doc, text)."""
-    width, reach = least - GRAM + 1, least - GRAM
+    """Rows of SUFFIX and the key for a batch of (key, doc, text, places)."""
+    reach = least - GRAM
 
     def run(batches: Batches) -> Batches:
         for batch in pieces(batches):
             words = Words(batch.column("text"), SPACES)
             hashes = words.hashes()
-            tags = (hashes >> np.uint64(48)).astype(np.uint16)
+            tags = (hashes >> np.uint64(32)).astype(np.uint32)
             tags[tags == 0] = 1
-            grams, rows, places, starts, after, before = [], [], [], [], [], []
-            for i in range(batch.num_rows):
-                own = words.of(i)
-                found = gram_hashes(hashes[own], GRAM)
-                at = minimisers(found, width)
-                if len(at):
-                    grams.append(found[at])
-                    rows.append(np.full(len(at), i))
-                    places.append(at)
-                    after.append(_context(tags, at + own.start + GRAM, own.start, own.stop, 1, reach))
-                    before.append(_context(tags, at + own.start - 1, own.start, own.stop, -1, reach))
-            if not rows:
-                continue
+            grams, rows, places, after, before = [], [], [], [], []
+            for i, wanted in enumerate(batch.column("places")):
+                own, at = words.of(i), np.array(wanted.as_py(), dtype=np.int64)
+                grams.append(gram_hashes(hashes[own], GRAM)[at])
+                rows.append(np.full(len(at), i))
+                places.append(at)
+                after.append(_context(tags, at + own.start + GRAM, own.start, own.stop, 1, reach))
+                before.append(_context(tags, at + own.start - 1, own.start, own.stop, -1, reach))
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -107,7 +123,7 @@ class _Rows:
     @staticmethod
     def _tags(column: pa.ChunkedArray) -> np.ndarray:
         joined = b"".join(column.to_pylist())
-        return np.frombuffer(joined, ">u2").reshape(len(column), -1)
+        return np.frombuffer(joined, ">u4").reshape(len(column), -1)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -212,7 +228,11 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
         F.col("doc_id").alias("key"), F.xxhash64("doc_id", "text").alias("doc"), F.col("text").cast("string").alias("text")
     )
     key = StructField("key", source.schema["key"].dataType)
-    suffixes = source.mapInArrow(_suffixes(least), StructType([*StructType.fromDDL(SUFFIX).fields, key]))
+    minimal = cut(source.select("doc", "text").mapInArrow(_places(least), "doc long, pos int, gram long"))
+    shared = minimal.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("gram")
+    kept = minimal.join(shared, "gram", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    located = source.join(kept, "doc").select("key", "doc", "text", "places")
+    suffixes = located.mapInArrow(_suffixes(least), StructType([*StructType.fromDDL(SUFFIX).fields, key]))
     order = ("gram", "after", "before", "doc", "pos")
     result = StructType(
         [
