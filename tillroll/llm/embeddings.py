@@ -35,25 +35,36 @@ def plan(n: int, limit: float = LIMIT, recall: float = RECALL) -> tuple[int, int
     return planes, max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, values padded with zeros as doubles) of a column of lists without nulls."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets = np.asarray(column.offsets).astype(np.int64)
+    values = np.asarray(column.values)[offsets[0] : offsets[-1]].astype(np.float64)
+    sizes = np.diff(offsets)
+    out = np.zeros((len(sizes), int(sizes.max(initial=0))))
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = values
+    return sizes, out
+
+
 def _keys(planes: int, passes: int, seed: int = 29):
     """(id, copies, vector, keys) of a batch of classes; vectors of another length have other planes and keys."""
 
     def run(batches: Batches) -> Batches:
         drawn: dict[int, np.ndarray] = {}
         for batch in batches:
-            vectors = batch.column("vector").to_pylist()
+            sizes, values = _matrix(batch.column("vector"))
             keys = np.zeros((batch.num_rows, passes), dtype=np.int64)
-            for size in {len(v) for v in vectors}:
-                rows = np.array([i for i, v in enumerate(vectors) if len(v) == size])
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size)
                 if size not in drawn:
                     drawn[size] = np.random.default_rng(seed + size).normal(size=(size, planes * passes))
-                x = np.array([vectors[i] for i in rows], dtype=np.float64)
+                x = values[rows, :size]
                 side = ((x / np.abs(x).max(axis=1, keepdims=True)) @ drawn[size] > 0).reshape(len(rows), passes, planes)
                 plain = np.logical_xor.accumulate(side, axis=2)  # from the Gray code to its place in order
                 keys[rows] = plain @ (1 << np.arange(planes - 1, -1, -1, dtype=np.int64))
+            lists = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * passes, pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("copies"), batch.column("vector"), pa.array(keys.tolist(), pa.list_(pa.int64()))],
-                ["id", "copies", "vector", "keys"],
+                [batch.column("id"), batch.column("copies"), batch.column("vector"), lists], ["id", "copies", "vector", "keys"]
             )
 
     return run
@@ -67,12 +78,8 @@ def _window_links(limit: float):
         number, place = table.column("pass")[0].as_py(), table.column("place")[0].as_py()
         table = table.sort_by("id")
         ids, copies = np.asarray(table.column("id")), np.asarray(table.column("copies"))
-        keys = np.array(table.column("keys").to_pylist(), dtype=np.int64)
-        lists = table.column("vector").to_pylist()
-        sizes = np.array([len(v) for v in lists])
-        x = np.zeros((len(lists), int(sizes.max())), dtype=np.float64)
-        for row, v in zip(x, lists, strict=True):
-            row[: len(v)] = v
+        keys = _matrix(table.column("keys"))[1].astype(np.int64)  # planes are far fewer than a double's digits
+        sizes, x = _matrix(table.column("vector"))
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         near = x @ x.T >= limit
@@ -104,9 +111,10 @@ def linked_vectors(vectors: DataFrame, limit: float = LIMIT, recall: float = REC
     vectors of different length do not link. A null id stays; a component is named by its smallest id that is not null.
     Repeated vectors link with each other. Other columns are not read. An empty table gives no rows.
     """
-    source = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    source = vectors.select("vec_id", F.col("embedding").alias("vector"))
+    kind = source.schema["vector"].dataType.simpleString()
     sound = F.expr(
-        "vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))"
+        "vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR abs(double(x)) = double('infinity'))"
         " AND exists(vector, x -> x <> 0)"
     )
     usable = source.where(F.coalesce(sound, F.lit(False)))
@@ -114,7 +122,7 @@ def linked_vectors(vectors: DataFrame, limit: float = LIMIT, recall: float = REC
     classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
     planes, passes = plan(classes.count(), limit, recall)
     keyed = classes.select("id", "copies", "vector").mapInArrow(
-        _keys(planes, passes), "id long, copies long, vector array<double>, keys array<long>"
+        _keys(planes, passes), f"id long, copies long, vector {kind}, keys array<long>"
     )
     # A window is the vectors of a key and of the next key.
     placed = cut(keyed.select("id", "keys").select("id", F.posexplode("keys").alias("pass", "key")).select(
