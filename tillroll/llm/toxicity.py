@@ -26,6 +26,7 @@ BUCKETS = 1 << 20
 KEPT = 2048  # buckets of the machine, at most
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 FACTORS = 4
+LEAST_STEPS = 600  # of the descent, however few the documents
 REJECT = 0.3
 
 
@@ -151,9 +152,9 @@ def _descend(slot: np.ndarray, x: np.ndarray, y: np.ndarray, bias: float, k: int
     n = x.shape[1]
     w = {"b": np.array([bias]), "w": np.zeros(n), "v": rng.normal(0, 0.05, (n, k))}
     mean, square = ({name: np.zeros_like(value) for name, value in w.items()} for _ in range(2))
-    step = 0
-    for _ in range(epochs):
-        for at in np.array_split(rng.permutation(len(y)), max(1, len(y) // 256)):
+    step, batches = 0, max(1, len(y) // 256)
+    for _ in range(max(epochs, -(-LEAST_STEPS // batches))):
+        for at in np.array_split(rng.permutation(len(y)), batches):
             c = x[at].astype(np.float64)
             step += 1
             machine = Machine(slot, w["b"][0], w["w"], w["v"])
