@@ -75,3 +75,21 @@ def test_stages_of_the_pipeline(spark):
 
 def test_run_is_its_stages(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark):
+    clash = "fp string, mix_taken long, places string, doc string, content long, key int, pos int, head string"
+    names = [c.split()[0] for c in clash.split(", ")]
+    rows = [(1, "one two three four", "en", "a", 4), (1, "one two three four", "en", "a", 4), (None, None, None, None, None), (2, "", "en", None, 0), (3, "token = 'abcdefgh1234'", None, "b", 1)]
+    docs = spark.createDataFrame(
+        [(*r, *[None] * len(names)) for r in rows],
+        f"doc_id long, text string, lang string, source string, n_chars long, {clash.replace('mix_taken', 'taken')}",
+    )
+    for _, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, DATA)
+        found = made.collect()
+        docs = spark.createDataFrame(found, made.schema)
+    assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count() >= 1
+    empty = table(spark, DATA, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, DATA).count() == 0
