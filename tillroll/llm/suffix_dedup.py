@@ -230,7 +230,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     key = StructField("key", source.schema["key"].dataType)
     minimal = cut(source.select("doc", "text").mapInArrow(_places(least), "doc long, pos int, gram long"))
     shared = minimal.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("gram")
-    kept = minimal.join(shared, "gram", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    # Written, so that both sides of the join are plain shuffles and a very common gram can be split.
+    kept = minimal.join(cut(shared), "gram", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("places"))
     located = source.join(kept, "doc").select("key", "doc", "text", "places")
     suffixes = located.mapInArrow(_suffixes(least), StructType([*StructType.fromDDL(SUFFIX).fields, key]))
     order = ("gram", "after", "before", "doc", "pos")
