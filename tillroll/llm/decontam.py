@@ -84,7 +84,8 @@ def aligned(index: DataFrame, terms: DataFrame) -> DataFrame:
     for every alignment at which an anchor matches."""
     by = ("doc", "content", "item", "copy", "shift")
     shift = (F.col("pos") - F.col("at")).alias("shift")
-    shifts = index.join(_anchors(terms, index), "term").select("doc", "content", "item", "copy", shift).distinct()
+    # Written, so that both sides of the join are plain shuffles and a very common entry can be split.
+    shifts = index.join(cut(_anchors(terms, index)), "term").select("doc", "content", "item", "copy", shift).distinct()
     pairs = index.join(terms, "term").select("doc", "content", "item", "copy", "size", "n", "span", shift, "at")
     return pairs.join(shifts, _same(pairs, shifts, *by), "left_semi").distinct()
 
