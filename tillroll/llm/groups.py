@@ -24,7 +24,8 @@ def meeting_blocks(rows: DataFrame, keys: list[str], member: str, size: int) ->
     large = rows.groupBy(*keys).count().where(F.col("count") > size)
     large = large.select(*keys, F.ceil(F.col("count") / size).cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
-    dealt = rows.join(large, keys, "left").withColumn("part", F.pmod(F.xxhash64(F.lit(7), member), parts).cast("int"))
+    # Written, so that both sides of the join are plain shuffles and a large group can be split.
+    dealt = rows.join(cut(large), keys, "left").withColumn("part", F.pmod(F.xxhash64(F.lit(7), member), parts).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
     return dealt.withColumns(
         {"block_a": F.least("part", "other"), "block_b": F.greatest("part", "other")}
