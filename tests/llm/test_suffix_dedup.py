@@ -99,3 +99,17 @@ def test_every_window_holds_a_minimiser():
     grams = np.random.default_rng(0).integers(0, 50, 2000).astype(np.uint64)
     at = set(suffix_dedup.minimisers(grams, 9).tolist())
     assert all(at & set(range(i, i + 9)) for i in range(2000 - 8))
+
+
+def test_of_copies_all_but_the_first_are_removable(spark):
+    """Exact copies, and a passage in different surroundings, in more documents than a batch has rows."""
+    text, passage = " ".join(f"t{i}" for i in range(90)), " ".join(f"q{i}" for i in range(55))
+    texts = {i: text for i in range(700)} | {1000 + i: f"u{i} {passage} v{i * 7 % 701}" for i in range(700)}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = found(spark, texts, 8)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {k: r.n_removable for k, r in got.items() if r.n_removable != r.n_repeated} == {0: 0, 1000: 0}
+    assert len(got) == 1400 and all(r.n_repeated == (90 if k < 1000 else 55) for k, r in got.items())

@@ -10,6 +10,10 @@ reported for both. Within a batch, rows with the same eight words are also compa
 The first and last rows of every range are compared in a second, small pass.
 
 A match longer than its context is covered by the next minimisers, which lie at most 43 words on.
+
+Neighbours settle eight words that stand twice. Of eight words that stand more often a row may match others than its neighbours, partly to
+the left and partly to the right, and its neighbours do not tell the smallest document of a run of copies. So every window of 50 words
+around such a minimiser is hashed and grouped with its smallest and greatest id. Both together give every repeated window.
 """
 
 from __future__ import annotations
@@ -76,6 +80,35 @@ def _places(least: int):
     return run
 
 
+def _windows(least: int):
+    """(window, doc, pos, key) of the windows of ``least`` words around the places in ``wide``, for a batch of (key, doc, text, wide)."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in pieces(batches):
+            words = Words(batch.column("text"), SPACES)
+            hashes = words.hashes()
+            rows, starts, found = [], [], []
+            for i, wide in enumerate(batch.column("wide")):
+                grams = gram_hashes(hashes[words.of(i)], least)
+                at = np.array(wide.as_py(), dtype=np.int64)[:, None] - np.arange(least - GRAM + 1)[None, :]
+                at = np.unique(at[(at >= 0) & (at < len(grams))])
+                rows.append(np.full(len(at), i))
+                starts.append(at)
+                found.append(grams[at])
+            at = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(found).view(np.int64)),
+                    batch.column("doc").take(at),
+                    pa.array(np.concatenate(starts).astype(np.int32)),
+                    batch.column("key").take(at),
+                ],
+                ["window", "doc", "pos", "key"],
+            )
+
+    return run
+
+
 def _suffixes(least: int):
     """Rows of SUFFIX and the key for a batch of (key, doc, text, places)."""
     reach = least - GRAM
@@ -222,18 +255,77 @@ def _compare(least: int, edges: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(key, doc, start, end, other): word spans, start included and end not, that document ``other`` has too."""
+def _located(docs: DataFrame, least: int) -> DataFrame:
+    """(key, doc, text, places, wide): documents with their minimisers that another document has too, and those whose
+    eight words stand more than twice."""
     source = docs.select(
         F.col("doc_id").alias("key"), F.xxhash64("doc_id", "text").alias("doc"), F.col("text").cast("string").alias("text")
     )
-    key = StructField("key", source.schema["key"].dataType)
     minimal = cut(source.select("doc", "text").mapInArrow(_places(least), "doc long, pos int, gram long"))
-    shared = minimal.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("gram")
+    shared = minimal.groupBy("gram").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
+    shared = shared.where("a <> b").select("gram", (F.col("n") > 2).alias("many"))
     # Written, so that both sides of the join are plain shuffles and a very common gram can be split.
-    kept = minimal.join(cut(shared), "gram", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("places"))
-    located = source.join(kept, "doc").select("key", "doc", "text", "places")
-    suffixes = located.mapInArrow(_suffixes(least), StructType([*StructType.fromDDL(SUFFIX).fields, key]))
+    kept = minimal.join(cut(shared), "gram").groupBy("doc").agg(
+        F.array_sort(F.collect_set("pos")).alias("places"),
+        F.array_sort(F.collect_set(F.when(F.col("many"), F.col("pos")))).alias("wide"),
+    )
+    return source.join(kept, "doc").select("key", "doc", "text", "places", "wide")
+
+
+def repeated_windows(located: DataFrame, least: int = LEAST) -> DataFrame:
+    """(key, doc, pos, other): starts of the windows around ``wide`` places that another document has too. ``other`` is the smallest id
+    that has the window if it is below ``key``, else the greatest."""
+    schema = StructType([*StructType.fromDDL("window long, doc long, pos int").fields, located.schema["key"]])
+    windows = located.where(F.size("wide") > 0).select("key", "doc", "text", "wide").mapInArrow(_windows(least), schema)
+    holders = windows.groupBy("window").agg(
+        F.min("doc").alias("a"), F.max("doc").alias("b"), F.min("key").alias("first"), F.max("key").alias("last")
+    )
+    holders = cut(holders.where("a <> b").select("window", "first", "last"))
+    smaller = F.col("key").isNull() | (F.col("first") < F.col("key"))
+    return windows.join(holders, "window").select("key", "doc", "pos", F.when(smaller, F.col("first")).otherwise(F.col("last")).alias("other"))
+
+
+def _joined(starts: np.ndarray, least: int) -> np.ndarray:
+    """Spans (start, end) of the windows at ``starts``, windows that overlap or touch as one."""
+    starts = np.sort(starts.astype(np.int64))
+    gap = np.flatnonzero(np.diff(starts) > least)
+    if not len(starts):
+        return np.zeros((0, 2), dtype=np.int64)
+    return np.stack((starts[np.concatenate(([0], gap + 1))], starts[np.concatenate((gap, [len(starts) - 1]))] + least), axis=1)
+
+
+def _window_spans(least: int):
+    """Rows (key, doc, start, end, less) for a batch of (key, doc, all, less), arrays of starts of windows."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            rows, spans, less = [], [], []
+            for name in ("all", "less"):
+                for i, starts in enumerate(batch.column(name)):
+                    found = _joined(np.asarray(starts.values), least)
+                    rows.append(np.full(len(found), i))
+                    spans.append(found)
+                    less.append(np.full(len(found), name == "less"))
+            if not rows:
+                continue
+            at, found = pa.array(np.concatenate(rows)), np.concatenate(spans).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key").take(at), batch.column("doc").take(at), pa.array(found[:, 0]), pa.array(found[:, 1]),
+                    pa.array(np.concatenate(less)),
+                ],
+                ["key", "doc", "start", "end", "less"],
+            )
+
+    return run
+
+
+def repeated_spans(located: DataFrame, least: int = LEAST) -> DataFrame:
+    """(key, doc, start, end, other): word spans, start included and end not, that document ``other`` has too, by neighbours."""
+    key = located.schema["key"]
+    suffixes = located.select("key", "doc", "text", "places").mapInArrow(
+        _suffixes(least), StructType([*StructType.fromDDL(SUFFIX).fields, key])
+    )
     order = ("gram", "after", "before", "doc", "pos")
     result = StructType(
         [
@@ -252,17 +344,25 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Documents (doc_id, text) that share a passage of ``least`` words with another document, one row each.
 
-    Columns: doc_id, n_repeated (words in such passages), n_removable (words in passages that were found in a document of smaller id too; without
-    them every passage still stands in the first document that has it), spans (merged word spans start:end, comma-joined),
-    partners (ids of documents next to it in the order of suffixes, sorted).
+    Columns: doc_id, n_repeated (words in such passages), n_removable (words in passages that a document of smaller id has too; without
+    them every passage still stands in the first document that has it, and in no other), spans (merged word spans start:end, comma-joined),
+    partners (ids of documents next to it in the order of suffixes, and the smallest or greatest that shares a passage, sorted).
     Nulls: a null text has no words; a null id stays and is no partner. Rows with equal id and text are one document;
     repeats within a document do not count. Documents below ``least`` words have no passage. Other columns are not read. An empty
     table gives no rows. Whole texts are read.
     """
-    spans = cut(repeated_spans(docs, least))
+    located = cut(_located(docs, least))
+    spans = cut(repeated_spans(located, least))
     smaller = F.coalesce(F.col("other") < F.col("key"), F.lit(False))
-    merged = _merged(spans.select("key", "doc", "start", "end"))
-    removable = _merged(spans.where(smaller).select("key", "doc", "start", "end"))
+    windows = repeated_windows(located, least).groupBy("doc", "key").agg(
+        F.collect_set("pos").alias("all"), F.collect_set(F.when(smaller, F.col("pos"))).alias("less"), F.collect_set("other").alias("others")
+    )
+    windows = cut(windows)
+    schema = StructType([located.schema["key"], *StructType.fromDDL("doc long, start int, end int, less boolean").fields])
+    wide = cut(windows.select("key", "doc", "all", "less").mapInArrow(_window_spans(least), schema))
+    columns = ("key", "doc", "start", "end")
+    merged = _merged(spans.select(*columns).unionByName(wide.where("NOT less").select(*columns)))
+    removable = _merged(spans.where(smaller).select(*columns).unionByName(wide.where("less").select(*columns)))
     length = F.sum(F.col("end") - F.col("start")).cast("long")
     text = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda s: F.concat_ws(":", s["start"], s["end"])), ","
@@ -270,7 +370,8 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     by = ("doc",)
     total = merged.groupBy(*by, "key").agg(length.alias("n_repeated"), text.alias("spans"))
     less = removable.groupBy(*by).agg(length.alias("n_removable"))
-    partners = spans.groupBy(*by).agg(F.array_sort(F.collect_set("other")).alias("partners"))
+    others = spans.select("doc", "other").unionByName(windows.select("doc", F.explode_outer("others").alias("other")))
+    partners = others.groupBy(*by).agg(F.array_sort(F.collect_set("other")).alias("partners"))
     return total.join(less, "doc", "left").join(partners, "doc").select(
         F.col("key").alias("doc_id"), "n_repeated", F.coalesce("n_removable", F.lit(0)).alias("n_removable"), "spans", "partners"
     )
