@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import suffix_dedup
@@ -113,3 +114,38 @@ def test_of_copies_all_but_the_first_are_removable(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert {k: r.n_removable for k, r in got.items() if r.n_removable != r.n_repeated} == {0: 0, 1000: 0}
     assert len(got) == 1400 and all(r.n_repeated == (90 if k < 1000 else 55) for k, r in got.items())
+
+
+def test_a_passage_whose_partners_are_no_neighbours_in_either_order(spark):
+    """Two documents share 50 words around a common phrase, which is their only minimiser; other documents match either of them farther
+    to the right or farther to the left, but in fewer than 50 words."""
+    phrases = [" ".join(f"c{n}x{i}" for i in range(8)) for n in range(4000)]
+    words = suffix_dedup.Words(pa.array(phrases), suffix_dedup.SPACES)
+    phrase = phrases[int(suffix_dedup.gram_hashes(words.hashes(), 8)[::8].argmin())]
+    left, right = " ".join(f"l{i}" for i in range(22)), " ".join(f"r{i}" for i in range(20))
+    own = lambda name, n: " ".join(f"{name}_{j}" for j in range(n))
+    texts = {}
+    for i in range(2):
+        texts[i] = f"x{i} {left} {phrase} {right} y{i}"
+        for k in range(3):
+            texts[100 + 10 * i + k] = f"{own(f'a{i}{k}', 50)} {phrase} {right} y{i} {own(f'b{i}{k}', 9)}"
+            texts[200 + 10 * i + k] = f"{own(f'd{i}{k}', 9)} x{i} {left} {phrase} {own(f'e{i}{k}', 50)}"
+    got = found(spark, texts)
+    assert {k: places(r.spans) for k, r in got.items()} == brute(texts) == {i: set(range(1, 51)) for i in range(2)}
+    assert {k: (r.n_removable, r.partners) for k, r in got.items()} == {0: (0, [1]), 1: (50, [0])}
+
+
+def test_a_phrase_in_more_documents_than_a_batch_has_rows(spark):
+    """Passages that end in a common phrase, whose holders lie far apart in the order of what follows."""
+    many = " ".join(f"m{i}" for i in range(12))
+    own = lambda name, n: " ".join(f"{name}_{j}" for j in range(n))
+    texts = {i: f"{own(f'p{i}', 45)} {many} {own(f'q{i}', 45)}" for i in range(600)}
+    for i in range(40):
+        texts[1000 + i] = f"{own(f'k{i // 2}', 42)} {many} {own(f'e{i}', 50)}"
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = found(spark, texts, 8)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {k: places(r.spans) for k, r in got.items()} == brute(texts) and len(got) == 40
