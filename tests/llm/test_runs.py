@@ -25,10 +25,13 @@ def plain_runs(codes, least=6, exponent=4):
     return sorted((s, n, q) for (s, n), q in found.items())
 
 
+LETTERS = st.lists(st.integers(0, 2), max_size=12)
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(0, 2), min_size=1, max_size=90), st.integers(0, 60), st.integers(1, 9))
-def test_runs_are_those_of_the_definition(codes, at, period):
-    codes = [codes[i] if i < at else codes[min(at, len(codes) - 1) + (i - at) % period - period * (at + period > len(codes))] for i in range(len(codes))]
+@given(LETTERS, st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 11), LETTERS)
+def test_runs_are_those_of_the_definition(head, unit, times, tail):
+    codes = head + unit * times + tail
     for least, exponent in ((6, 4), (2, 2)):
         got = [tuple(r) for r in runs_of(np.array(codes, dtype=np.int64), least, exponent).tolist()]
         assert sorted(got) == plain_runs(codes, least, exponent)
