@@ -20,6 +20,7 @@ COLUMNS = {
     8: ["doc_id", "held_out", "score", "predicted"],
     9: ["doc_id", "held_out", "lang_pred", "score"],
     10: ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    11: ["item_id", "rank", "doc_id", "score"],
     13: ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 

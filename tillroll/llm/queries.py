@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, embeddings, html, langid, mixing, runs, secrets, simhash, suffix_dedup, toxicity, warc
+from tillroll.llm import decontam, embeddings, html, langid, mixing, ranked, runs, secrets, simhash, suffix_dedup, toxicity, warc
 from tillroll.sources.star import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digest(runs.word_runs(runs.with_repeats(table(spark, folder, "documents"))))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_language,
         op10_decontamination,
+        op11_ranked_search,
         op13_word_runs,
     )
 }
@@ -83,5 +88,6 @@ ORACLES: dict[str, str] = {
     "op4_warc_revisits": warc.ORACLE,
     "op7_embedding_links": embeddings.ORACLE,
     "op10_decontamination": decontam.ORACLE,
+    "op11_ranked_search": ranked.ORACLE,
     "op13_word_runs": runs.ORACLE,
 }
