@@ -21,6 +21,7 @@ COLUMNS = {
     9: ["doc_id", "held_out", "lang_pred", "score"],
     10: ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     11: ["item_id", "rank", "doc_id", "score"],
+    12: ["query_id", "rank", "vec_id", "score"],
     13: ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
@@ -28,7 +29,7 @@ COLUMNS = {
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry_points.queries()
     assert set(queries.QUERIES) <= set(names) and "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(queries.ORACLES) <= set(entry_points.oracle_sql())
 
 

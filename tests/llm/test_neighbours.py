@@ -1,0 +1,99 @@
+"""Nearest neighbours over learned partitions against brute force, and the pieces of the fit."""
+
+import numpy as np
+import pytest
+
+from tillroll.llm import neighbours
+from tillroll.llm.neighbours import _directions, _nearest, balanced_parts, fitted, nearest_vectors, partitions, probabilities
+from tillroll.sources.star import table
+
+
+def plain(rows, every=20, k=20):
+    """(query, id): ids of the best by exact score, ties by id, and all scores."""
+    out, rows = {}, sorted(set(rows))
+    for query, vector in rows:
+        if query % every:
+            continue
+        scores = [(-sum(a * b for a, b in zip(vector, other, strict=True)), i) for i, other in rows if i != query]
+        out[query] = sorted(scores)[:k]
+    return out
+
+
+def clustered(n, seed=1):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, 16))
+    x = centres[rng.integers(0, 12, n)] + 0.6 * rng.normal(size=(n, 16))
+    return x * rng.uniform(0.5, 2, (n, 1))
+
+
+def recall(found, expected):
+    return np.mean([len({r.vec_id for r in found if r.query_id == q} & {i for _, i in best}) / len(best) for q, best in expected.items()])
+
+
+def test_partitions_are_balanced_and_hold_neighbours_together():
+    x = clustered(1024)
+    near = _nearest(x, x, 20, np.arange(len(x)))
+    part = balanced_parts(_directions(x), near, 8)
+    assert np.ptp(np.bincount(part, minlength=8)) <= 8
+    start = balanced_parts(_directions(x), near, 8, rounds=1)
+    assert (part[near] == part[:, None]).mean() > max(0.5, (start[near] == start[:, None]).mean())
+
+
+def test_a_query_goes_to_few_partitions_and_meets_its_neighbours():
+    x = clustered(6000)
+    weights, probes = fitted(x[:1024], 16)
+    assert probes < 12
+    home, order = probabilities(weights, x).argmax(axis=1), np.argsort(-probabilities(weights, x[:300]), axis=1)
+    truth = _nearest(x[:300], x, 20, np.arange(300))
+    assert np.mean([np.isin(home[truth[i]], order[i, :probes]).mean() for i in range(300)]) >= 0.9
+
+
+def test_number_of_partitions_follows_the_rows():
+    assert [partitions(n) for n in (0, 31, 500, 10_000, 51_000, 10**9)] == [1, 1, 4, 32, 64, 128]
+
+
+@pytest.mark.parametrize("block", [4096, 60])
+def test_search_of_clusters_against_brute_force(spark, block):
+    x = clustered(1500, seed=4)
+    rows = [(i, tuple(v)) for i, v in enumerate(x.tolist())]
+    vectors = spark.createDataFrame([(i, list(v), "x") for i, v in rows], "vec_id long, embedding array<double>, ids string")
+    found = nearest_vectors(vectors, block=block).collect()
+    expected = plain(rows)
+    assert sorted({r.query_id for r in found}) == sorted(expected) and recall(found, expected) >= 0.9
+    assert sorted((r.query_id, r.rank) for r in found) == [(q, r) for q in sorted(expected) for r in range(1, 21)]
+    for row in found:
+        assert row.vec_id != row.query_id and row.score == pytest.approx(float(np.dot(x[row.query_id], x[row.vec_id])), rel=1e-12)
+
+
+def test_search_of_the_given_table(spark):
+    vectors = table(spark, "/root/testdata/sf0.01", "embeddings")
+    rows = [(r.vec_id, tuple(r.embedding)) for r in vectors.collect()]
+    found = nearest_vectors(vectors).collect()
+    expected = plain(rows)
+    assert len(found) == 20 * len(expected) and recall(found, expected) >= 0.9
+
+
+def test_copies_ties_nulls_and_few_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(i, [1.0, 0.0]) for i in range(60)]
+    rows += [(100, [0.0, 2.0]), (101, [0.0, 1.0]), (101, [0.0, 1.0]), (120, [2.0]), (-20, [-1.0, 0.0]), (140, [0.5, 0.5])]
+    rows += [(160, None), (161, [0.0, 0.0]), (162, [1.0, None]), (163, [nan, 1.0]), (164, [inf, 1.0]), (165, []), (None, [1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    good = [(i, tuple(v + [0.0] * (2 - len(v)))) for i, v in rows if i is not None and i not in range(160, 166)]
+    found = {}
+    for r in sorted(nearest_vectors(vectors).collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    assert found == plain(good)
+    few = {(r.query_id, r.rank, r.vec_id, r.score) for r in nearest_vectors(vectors.where("vec_id in (100, 101, 120)")).collect()}
+    assert few == {(100, 1, 101, 2.0), (100, 2, 120, 0.0), (120, 1, 100, 0.0), (120, 2, 101, 0.0)}
+    assert nearest_vectors(vectors.limit(0)).count() == 0
+    assert nearest_vectors(vectors.where("vec_id = 100")).count() == 0
+
+
+def test_small_partitions_send_a_query_on(spark, monkeypatch):
+    """Sixty-four vectors in sixteen partitions: some hold fewer than a result needs."""
+    monkeypatch.setattr(neighbours, "partitions", lambda n, fit_rows: 16)
+    x = clustered(64, seed=8)
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = nearest_vectors(vectors, target=0.01).collect()
+    assert sorted((r.query_id, r.rank) for r in found) == [(q, r) for q in (0, 20, 40, 60) for r in range(1, 21)]

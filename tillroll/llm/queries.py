@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontam, embeddings, html, langid, mixing, ranked, runs, secrets, simhash, suffix_dedup, toxicity, warc
+from tillroll.llm import decontam, embeddings, html, langid, mixing, neighbours, ranked, runs, secrets, simhash, suffix_dedup, toxicity, warc
 from tillroll.sources.star import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digest(runs.word_runs(runs.with_repeats(table(spark, folder, "documents"))))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
         op9_language,
         op10_decontamination,
         op11_ranked_search,
+        op12_nearest_vectors,
         op13_word_runs,
     )
 }

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,7 +173,7 @@ def _search(k: int):
                 return np.asarray(of.column(column).combine_chunks().flatten())
 
             def edges(of: pa.Table) -> np.ndarray:
-                return np.concatenate(([0], np.cumsum(np.asarray(pa.compute.list_value_length(of.column("terms"))))))
+                return np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(of.column("terms"))))))
 
             terms, at = np.unique(flat(items, "terms"), return_index=True)
             weights = flat(items, "weights")[at]
