@@ -163,8 +163,9 @@ def _fit(width: int, parts: int, k: int, target: float):
     return run
 
 
-def _visits(weights: list[np.ndarray] | None, width: int):
-    """(id, parts) of a batch of (id, vector): the partitions from the most probable down."""
+def _routes(weights: list[np.ndarray] | None, width: int, probes: int, names: np.ndarray, least: int):
+    """The batches with ``parts`` added: the ``probes`` most probable partitions of each row's vector, and further ones until these have ``least``
+    of the ``names`` (ids in each partition)."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -174,8 +175,11 @@ def _visits(weights: list[np.ndarray] | None, width: int):
             if weights is not None:
                 chance = probabilities(weights, _padded(batch.column("vector"), width))
                 order = np.argsort(-chance, axis=1, kind="stable").astype(np.int32)
-            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * order.shape[1]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(offsets, order.ravel())], ["id", "parts"])
+            before = np.cumsum(names[order], axis=1) - names[order]
+            wanted = (np.arange(order.shape[1])[None, :] < probes) | (before < least)
+            offsets = np.concatenate(([0], np.cumsum(wanted.sum(axis=1)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[wanted]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "parts"])
 
     return run
 
@@ -250,27 +254,28 @@ def nearest_vectors(
         model = sample.coalesce(1).mapInArrow(_fit(width, parts, k, target), "weights binary, probes int").first()
         weights, probes = [w for _, w in sorted(np.load(io.BytesIO(model.weights)).items())], model.probes
     # No more than the partitions' numbers, sizes and weights come to the driver.
-    visits = cut(classes.select("id", "vector").mapInArrow(_visits(weights, width or 1), "id long, parts array<int>"))
-    placed = cut(classes.join(visits.select("id", F.get("parts", F.lit(0)).alias("part")), "id"))
-    sizes = {r.part: (r.names, r.n) for r in placed.groupBy("part").agg(F.sum(F.size("ids")).alias("names"), F.count("*").alias("n")).collect()}
+    home = _routes(weights, width or 1, 1, np.zeros(parts, np.int64), 0)
+    placed = classes.mapInArrow(home, f"vector {kind}, ids array<long>, id long, parts array<int>")
+    placed = cut(placed.select("id", "ids", "vector", F.get("parts", F.lit(0)).alias("part")))
+    facts = placed.groupBy("part").agg(F.sum(F.size("ids")).alias("names"), F.count("*").alias("n")).collect()
+    sizes, names = {r.part: r.n for r in facts}, np.zeros(parts, np.int64)
+    for row in facts:
+        names[row.part] = row.names
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vector")
     same = (F.xxhash64(asked["vector"]) == F.xxhash64(classes["vector"])) & (asked["vector"] == classes["vector"])
     asked = cut(asked.join(classes, same).select("query_id", F.col("id").alias("query")))
     # A query goes on to further partitions until it has met enough ids for a whole result.
-    names = F.array([F.lit(sizes.get(p, (0, 0))[0]) for p in range(parts)])
-    met = F.transform("parts", lambda p: F.get(names, p))
-    before = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda i: F.aggregate(F.slice(met, F.lit(1), i - 1), F.lit(0).cast("long"), lambda s, v: s + v))
-    wanted = F.filter("parts", lambda p, i: (i < probes) | (F.get(before, i) < k + 1))
-    queries = visits.join(asked.select(F.col("query").alias("id")).distinct(), "id")
-    routed = cut(queries.select("id", F.explode(wanted).alias("part")))
+    queries = classes.select("id", "vector").join(asked.select(F.col("query").alias("id")), "id", "left_semi")
+    routed = queries.mapInArrow(_routes(weights, width or 1, probes, names, k + 1), f"id long, vector {kind}, parts array<int>")
+    routed = cut(routed.select("id", "vector", F.explode("parts").alias("part")))
     asking = {r["part"]: r["count"] for r in routed.groupBy("part").count().collect()}
-    shape = [(p, -(-sizes.get(p, (0, 0))[1] // block) or 1, -(-asking.get(p, 0) // block) or 1) for p in range(parts)]
+    shape = [(p, -(-sizes.get(p, 0) // block) or 1, -(-asking.get(p, 0) // block) or 1) for p in range(parts)]
     shape = F.broadcast(spark.createDataFrame(shape, "part int, blocks int, query_blocks int"))
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     points = placed.join(shape, "part").select(
         "part", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), upto("query_blocks").alias("query_block"), "id", "ids", "vector"
     )
-    dealt = routed.join(classes.select("id", "vector"), "id").join(shape, "part").select(
+    dealt = routed.join(shape, "part").select(
         "part",
         upto("blocks").alias("block"),
         F.pmod(F.xxhash64("id"), "query_blocks").cast("int").alias("query_block"),
