@@ -163,7 +163,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "X1": ("x1_quarterly",),
     "X2": ("x2_top_by_orders",),
     "X3": ("x3_standardised",),
-    "X4": ("x4_elbow",),
+    "X4": ("x4_elbow", "x4_elbow_k"),
     "X5": ("x5_cluster_profile",),
     "X6": ("x6_documented_segments",),
     "X7": ("x7_product_codes_only",),

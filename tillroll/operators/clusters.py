@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.runtime import cut, held
+from tillroll.runtime import cut
 from tillroll.schema import MONEY
 
 METRICS = ("Recency", "Frequency", "Monetary")
-ROUNDS = 10
+ROUNDS = 300
+TOLERANCE = 1e-9  # of standard deviations
 
 
 def _features(rfm: DataFrame) -> DataFrame:
@@ -50,31 +53,54 @@ def _nearest(centres: Sequence[Centre]) -> Column:
     return F.array_min(F.array(*away))
 
 
-def _centres(points: DataFrame, ks: Iterable[int], rounds: int) -> dict[int, list[Centre]]:
-    """Centres after ``rounds`` steps of K-Means for every k at once; a step is one aggregate with a row for each centre."""
-    centres = {k: _starts(k) for k in ks}
-    scaled = [f"{m}Scaled" for m in METRICS]
-    for _ in range(rounds):
-        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(c)["number"].alias("n")) for k, c in centres.items()]))
-        means = points.select(*scaled, each.alias("at")).groupBy("at.k", "at.n").agg(*[F.avg(c).alias(c) for c in scaled])
-        for row in means.collect():
-            centres[row["k"]][row["n"]] = tuple(row[c] for c in scaled)
-    return centres
+def fitted_centres(
+    points: DataFrame, ks: Sequence[int], rounds: int = ROUNDS, tolerance: float = TOLERANCE, starts: Mapping[int, Sequence[Centre]] | None = None
+) -> dict[int, list[Centre]]:
+    """Centres of Spark's K-Means for each k, from ``starts`` or the diagonal.
 
+    The fit ends when no centre moves by more than ``tolerance``, at the latest after ``rounds`` steps. The default tolerance is
+    that of rounding: customers no longer change their cluster. A centre without customers stays where it is.
+    """
+    vectors = points.select(F.array(*[f"{m}Scaled" for m in METRICS]).alias("x")).rdd.map(lambda row: row.x)
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = {}
+        for k in ks:
+            first = KMeansModel((starts or {}).get(k) or _starts(k))
+            model = KMeans.train(vectors, k, maxIterations=rounds, epsilon=tolerance, initialModel=first)
+            found[k] = [tuple(map(float, c)) for c in model.clusterCenters]
+        return found
+    finally:
+        vectors.unpersist()
 
-def elbow(rfm: DataFrame, ks: Sequence[int] = range(2, 9), rounds: int = ROUNDS) -> DataFrame:
-    """Within-cluster cost for each k, to choose k by the elbow."""
-    with held(standardised(rfm)) as points:
-        centres = _centres(points, ks, rounds)
-        costs = points.agg(*[F.sum(_nearest(c)["distance"]).alias(str(k)) for k, c in centres.items()]).first()
-    return rfm.sparkSession.createDataFrame([(k, costs[str(k)]) for k in ks], "K int, Cost double").orderBy("K")
 
+def elbow(rfm: DataFrame, ks: Sequence[int] = range(2, 9), rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Within-cluster cost for each k, to choose k by the elbow (X4); all costs come from one pass."""
+    points = cut(standardised(rfm))
+    centres = fitted_centres(points, ks, rounds, tolerance)
+    costs = points.agg(*[F.sum(_nearest(c)["distance"]).alias(str(k)) for k, c in centres.items()])
+    return costs.select(F.explode(F.array(*[F.struct(F.lit(k).alias("K"), F.col(str(k)).alias("Cost")) for k in ks])).alias("of")).select("of.*").orderBy("K")
 
-def clustered(rfm: DataFrame, k: int = 4, rounds: int = ROUNDS) -> DataFrame:
+
+def elbow_k(costs: DataFrame) -> DataFrame:
+    """The k at the elbow: where the cost lies farthest below the line from the first cost to the last, of equal ones the smallest.
+
+    ``costs`` has one row for each k.
+    """
+    all_costs = F.array_sort(F.collect_list(F.struct("K", "Cost")))  # a row for each k that was tried
+    first, last = F.get("costs", 0), F.element_at("costs", -1)
+    slope = F.when(last["K"] > first["K"], (last["Cost"] - first["Cost"]) / (last["K"] - first["K"])).otherwise(0.0)
+
+    def below(c: Column) -> Column:
+        return F.struct((c["Cost"] - first["Cost"] - slope * (c["K"] - first["K"])).alias("gap"), c["K"].alias("K"))
+
+    return costs.agg(all_costs.alias("costs")).select(F.array_min(F.transform("costs", below))["K"].alias("K"))
+
+
+def clustered(rfm: DataFrame, k: int = 4, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """Customers with their K-Means cluster."""
-    points = standardised(rfm)
-    with held(points) as kept:
-        centres = _centres(kept, [k], rounds)[k]
+    points = cut(standardised(rfm))
+    centres = fitted_centres(points, [k], rounds, tolerance)[k]
     return points.withColumn("Cluster", _nearest(centres)["number"]).drop(*[f"{m}Scaled" for m in METRICS])
 
 

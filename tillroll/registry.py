@@ -239,6 +239,7 @@ def _standardised(spark: SparkSession, folder: str) -> DataFrame:
 query("x4_elbow")(
     lambda s, d: clusters.elbow(customers.shopper_base(_shopper(s, d))).withColumn("Cost", F.round("Cost", 6))
 )
+query("x4_elbow_k")(lambda s, d: clusters.elbow_k(clusters.elbow(customers.shopper_base(_shopper(s, d)))))
 query("x5_cluster_profile")(
     lambda s, d: clusters.cluster_profile(clusters.clustered(customers.shopper_base(_shopper(s, d))))
 )
