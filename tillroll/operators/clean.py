@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
@@ -49,9 +49,12 @@ def _priced(lines: DataFrame) -> DataFrame:
 
 def ledger_lines_unmerged(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """The ledger rules before repeated lines are merged."""
-    kept = _sold(raw).filter(~C.is_cancelled(F.col("InvoiceNo")))
+    return _ledger_columns(_sold(raw).filter(~C.is_cancelled(F.col("InvoiceNo"))), layout)
+
+
+def _ledger_columns(kept: DataFrame, layout: Layout) -> DataFrame:
     named = with_times(kept, layout).withColumn("CustomerID", C.customer_or_unknown(F.col("CustomerID")))
-    if "Description" in raw.columns:
+    if "Description" in kept.columns:
         named = named.withColumn("Description", C.tidy_text(F.col("Description")))
     return _priced(named)
 
@@ -91,19 +94,39 @@ def merge_repeats(lines: DataFrame) -> DataFrame:
     First line and totals come from the same aggregate, so there is one shuffle and no join. Lines without a
     stock code have no key and are dropped.
     """
+    return _merged(lines.filter(F.col("StockCode").isNotNull()), LINE_KEY)
+
+
+def _merged(lines: DataFrame, keys: Sequence[str], **more: Column) -> DataFrame:
     merged = (
-        lines.filter(F.col("StockCode").isNotNull())
-        .groupBy(*LINE_KEY)
+        lines.groupBy(*keys)
         .agg(
             F.min(F.struct(*_first_by(lines))).alias("first"),
             F.sum("Quantity").alias("Quantity"),
             F.sum("TotalAmount").cast(MONEY).alias("TotalAmount"),
+            *[measure.alias(name) for name, measure in more.items()],
         )
-        .select(*LINE_KEY, "first.*", "Quantity", "TotalAmount")
+        .select(*keys, "first.*", "Quantity", "TotalAmount", *more)
     )
     return merged.withColumns(C.calendar_of(F.col("InvoiceDate")))
 
 
+REJECTED, UNCODED, MERGED = 0, 1, 2
+
+
+def ledger_lines_counted(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
+    """The rows of ``ledger_lines``, with ``Kind`` MERGED, and two more that stand for the lines left out, REJECTED by a rule or UNCODED.
+
+    ``Lines`` is the raw lines behind a row. Lines left out lose their values and are counted before the shuffle, so they cost
+    a row for each task. The counts are those of the aggregate's result: a task that runs twice does not count twice.
+    """
+    kept = (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0) & ~C.is_cancelled(F.col("InvoiceNo"))
+    kind = F.when(~F.coalesce(kept, F.lit(False)), REJECTED).when(F.col("StockCode").isNull(), UNCODED).otherwise(MERGED)
+    marked = raw.withColumn("Kind", kind)
+    blank = marked.select("Kind", *[F.when(F.col("Kind") == MERGED, F.col(c)).alias(c) for c in raw.columns])
+    return _merged(_ledger_columns(blank, layout), ("Kind", *LINE_KEY), Lines=F.count("*"))
+
+
 def ledger_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
     """Clean fact with unknown customers kept and repeated lines merged (D2). Lines read without a description give a fact without."""
     return merge_repeats(ledger_lines_unmerged(raw, layout))

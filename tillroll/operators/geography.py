@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.operators.rollups import measured
+from tillroll.operators.rollups import distinct_count, measured
 
 
 def countries_by_lines(frame: DataFrame) -> DataFrame:
@@ -35,12 +35,12 @@ def countries_by_invoices(frame: DataFrame, except_home: str | None = None) -> D
     return (
         rows.groupBy("Country")
         .agg(
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            F.count_distinct("InvoiceNo").alias("TotalOrders"),
+            distinct_count(frame, "CustomerID").alias("TotalCustomers"),
+            distinct_count(frame, "InvoiceNo").alias("TotalOrders"),
             F.sum("Units").alias("TotalQuantity"),
             C.as_double(F.sum("Revenue")).alias("TotalRevenue"),
             C.ratio(F.sum("Revenue"), F.sum("Lines")).alias("AvgOrderValue"),
-            C.ratio(F.sum("Revenue"), F.count_distinct("CustomerID")).alias("RevenuePerCustomer"),
+            C.ratio(F.sum("Revenue"), distinct_count(frame, "CustomerID")).alias("RevenuePerCustomer"),
         )
         .orderBy(F.desc("TotalRevenue"), "Country")
     )

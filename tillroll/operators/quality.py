@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
+from tillroll.operators.clean import MERGED, REJECTED
 from tillroll.schema import RAW_COLUMNS
 
 
@@ -79,11 +80,7 @@ def rule_violations(raw: DataFrame, layout: str | Sequence[str] = C.ANY_LAYOUT)
 
 
 def run_summary(raw: DataFrame, merged: DataFrame) -> DataFrame:
-    """Lines read, lines kept by the ledger rules, lines after merging, and revenue.
-
-    ``merged`` is the clean fact, best as written. Metrics collected on the side of a write would be cheaper but
-    may count a task twice when it is run again after an executor is lost.
-    """
+    """Lines read, lines kept by the ledger rules, lines after merging, and revenue (S13), by reading both frames."""
     kept = (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0) & ~C.is_cancelled(F.col("InvoiceNo"))
     counts = raw.agg(F.count("*").alias("RawLines"), F.count_if(kept).alias("CleanLines"))
     totals = merged.agg(F.struct(F.count("*").alias("lines"), F.sum("TotalAmount").alias("amount"))).scalar()
@@ -93,3 +90,21 @@ def run_summary(raw: DataFrame, merged: DataFrame) -> DataFrame:
         totals["lines"].alias("MergedLines"),
         C.as_double(totals["amount"]).alias("TotalRevenue"),
     )
+
+
+def summary_metrics() -> list[Column]:
+    """The run summary as metrics over ``clean.ledger_lines_counted``, to be observed while the fact is written."""
+    merged = F.col("Kind") == MERGED
+    return [
+        F.coalesce(F.sum("Lines"), F.lit(0)).alias("RawLines"),
+        F.coalesce(F.sum(F.when(F.col("Kind") != REJECTED, F.col("Lines"))), F.lit(0)).alias("CleanLines"),
+        F.count_if(merged).alias("MergedLines"),
+        F.sum(F.when(merged, F.col("TotalAmount"))).alias("TotalRevenue"),
+    ]
+
+
+def observed_summary(spark: SparkSession, metrics: Mapping[str, object]) -> DataFrame:
+    """The one-row summary of observed ``summary_metrics``."""
+    schema = "RawLines long, CleanLines long, MergedLines long, TotalRevenue decimal(38,2)"
+    row = spark.createDataFrame([tuple(metrics[c] for c in ("RawLines", "CleanLines", "MergedLines", "TotalRevenue"))], schema)
+    return row.withColumn("TotalRevenue", C.as_double(F.col("TotalRevenue")))

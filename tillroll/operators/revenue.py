@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.operators.rollups import measured
+from tillroll.operators.rollups import distinct_count, measured
 
 _MONTH = ("Year", "Month")
 
@@ -23,8 +23,8 @@ def _lines(name: str) -> Column:
     return F.sum("Lines").alias(name)
 
 
-def _invoices() -> Column:
-    return F.count_distinct("InvoiceNo").alias("TotalOrders")
+def _invoices(frame: DataFrame) -> Column:
+    return distinct_count(frame, "InvoiceNo").alias("TotalOrders")
 
 
 def _per_line() -> Column:
@@ -42,8 +42,8 @@ def monthly_by_invoices(frame: DataFrame) -> DataFrame:
         measured(frame)
         .groupBy(*_MONTH)
         .agg(
-            _invoices(),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
+            _invoices(frame),
+            distinct_count(frame, "CustomerID").alias("TotalCustomers"),
             F.sum("Units").alias("TotalQuantity"),
             _revenue(),
             _per_line(),
@@ -60,7 +60,7 @@ def weekday_by_lines(frame: DataFrame, locale: str = "vi") -> DataFrame:
 
 def weekday_by_invoices(frame: DataFrame, locale: str = "en") -> DataFrame:
     """Revenue by weekday with distinct orders."""
-    report = measured(frame).groupBy("DayOfWeek").agg(_invoices(), _revenue())
+    report = measured(frame).groupBy("DayOfWeek").agg(_invoices(frame), _revenue())
     return report.withColumn("DayName", C.weekday_name(F.col("DayOfWeek"), locale)).orderBy("DayOfWeek")
 
 
@@ -71,7 +71,7 @@ def hourly_by_lines(frame: DataFrame) -> DataFrame:
 
 def hourly_by_invoices(frame: DataFrame) -> DataFrame:
     """Revenue by hour with distinct orders."""
-    return measured(frame).groupBy("Hour").agg(_invoices(), _revenue()).orderBy("Hour")
+    return measured(frame).groupBy("Hour").agg(_invoices(frame), _revenue()).orderBy("Hour")
 
 
 def monthly_totals(frame: DataFrame) -> DataFrame:
@@ -91,10 +91,10 @@ def monthly_trend(frame: DataFrame) -> DataFrame:
         measured(frame)
         .groupBy(*_MONTH)
         .agg(
-            F.count_distinct("CustomerID").alias("UniqueCustomers"),
-            _invoices(),
+            distinct_count(frame, "CustomerID").alias("UniqueCustomers"),
+            _invoices(frame),
             _revenue(),
-            C.ratio(F.sum("Revenue"), F.count_distinct("InvoiceNo")).alias("AvgOrderValue"),
+            C.ratio(F.sum("Revenue"), distinct_count(frame, "InvoiceNo")).alias("AvgOrderValue"),
         )
     )
     before = F.lag("TotalRevenue").over(Window.orderBy(*_MONTH))
@@ -107,19 +107,20 @@ def quarterly(frame: DataFrame) -> DataFrame:
     return (
         measured(frame)
         .groupBy("Year", quarter.alias("Quarter"))
-        .agg(_invoices(), _revenue())
+        .agg(_invoices(frame), _revenue())
         .orderBy("Year", "Quarter")
     )
 
 
-def overview(lines: DataFrame) -> DataFrame:
-    """Size, distinct customers, orders and products, revenue and date range."""
-    return lines.agg(
-        F.count("*").alias("TotalRecords"),
-        F.count_distinct("CustomerID").alias("UniqueCustomers"),
-        F.count_distinct("InvoiceNo").alias("UniqueOrders"),
-        F.count_distinct("StockCode").alias("UniqueProducts"),
-        C.as_double(F.sum("TotalAmount")).alias("TotalRevenue"),
-        F.min("InvoiceDate").alias("FirstDate"),
-        F.max("InvoiceDate").alias("LastDate"),
+def overview(frame: DataFrame) -> DataFrame:
+    """Size, distinct customers, orders and products, revenue and date range (R16), of lines or of a ``sketch_rollup`` with these three."""
+    rows = measured(frame)
+    return rows.agg(
+        F.coalesce(F.sum("Lines"), F.lit(0)).alias("TotalRecords"),
+        distinct_count(frame, "CustomerID").alias("UniqueCustomers"),
+        distinct_count(frame, "InvoiceNo").alias("UniqueOrders"),
+        distinct_count(frame, "StockCode").alias("UniqueProducts"),
+        C.as_double(F.sum("Revenue")).alias("TotalRevenue"),
+        F.min("FirstPurchase").alias("FirstDate"),
+        F.max("LastPurchase").alias("LastDate"),
     )

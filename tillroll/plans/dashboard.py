@@ -14,24 +14,19 @@ from tillroll.sources.store import ResultStore
 
 @dataclass(frozen=True)
 class Dashboard:
-    """Each method reads results by name and returns a frame for one part of a page."""
+    """Each method returns the frames of one part of a page, all from the results that were current when it was called."""
 
     store: ResultStore
 
     def collections(self) -> list[str]:
         return self.store.names()
 
-    def _read_or_empty(self, name: str) -> DataFrame:
-        """A result, or a frame without rows if it has not been written."""
-        if name in self.store.names():
-            return self.store.read(name)
-        return self.store.spark.range(0)
-
     def overview(self) -> tuple[DataFrame, DataFrame | None]:
         """Sizes, absent results counting 0, and customers per segment if there are any results of them."""
-        names = ("customer_clusters", "transactions", "top_products_quantity")
-        tables = [self._read_or_empty(name) for name in names]
-        split = views.segment_counts(tables[0]) if "Segment" in tables[0].columns else None
+        now = self.store.snapshot()
+        wanted = ("customer_clusters", "transactions", "top_products_quantity")
+        tables = [now.read(name) if name in now.entries else self.store.spark.range(0) for name in wanted]
+        split = views.segment_counts(tables[0]) if "customer_clusters" in now.entries else None
         return views.overview(*tables), split
 
     def first_customers(self, rows: int = 100) -> DataFrame:
@@ -58,21 +53,24 @@ class Dashboard:
         )
 
     def customer(self, customer_id: str) -> tuple[DataFrame, DataFrame]:
-        found = views.find_customer(self.store.read("customer_clusters"), customer_id)
-        return customers.with_segment_note(found), views.find_customer(self.store.read("customer_rfm"), customer_id)
+        now = self.store.snapshot()
+        found = views.find_customer(now.read("customer_clusters"), customer_id)
+        return customers.with_segment_note(found), views.find_customer(now.read("customer_rfm"), customer_id)
 
     def products(self, rows: int = 50) -> tuple[DataFrame, DataFrame]:
+        now = self.store.snapshot()
         return (
-            views.products_view(self.store.read("top_products_revenue"), "TotalRevenue", rows),
-            views.products_view(self.store.read("top_products_quantity"), "TotalQuantity", rows),
+            views.products_view(now.read("top_products_revenue"), "TotalRevenue", rows),
+            views.products_view(now.read("top_products_quantity"), "TotalQuantity", rows),
         )
 
     def revenue(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        now = self.store.snapshot()
         return (
-            views.monthly_view(self.store.read("monthly_revenue")),
-            views.weekday_view(self.store.read("daily_revenue")),
-            views.hourly_view(self.store.read("hourly_revenue")),
-            self.store.read("monthly_trend").orderBy("Year", "Month"),
+            views.monthly_view(now.read("monthly_revenue")),
+            views.weekday_view(now.read("daily_revenue")),
+            views.hourly_view(now.read("hourly_revenue")),
+            now.read("monthly_trend").orderBy("Year", "Month"),
         )
 
     def countries(self) -> tuple[DataFrame, DataFrame]:
@@ -80,12 +78,14 @@ class Dashboard:
         return views.countries_view(table), views.country_totals(table)
 
     def segments(self) -> tuple[DataFrame, DataFrame]:
-        counts = views.segment_counts(self.store.read("customer_clusters"))
-        return counts, views.segment_view(self.store.read("cluster_statistics"))
+        now = self.store.snapshot()
+        counts = views.segment_counts(now.read("customer_clusters"))
+        return counts, views.segment_view(now.read("cluster_statistics"))
 
     def recommendations(self) -> tuple[DataFrame, DataFrame]:
-        pairs = views.pairs_view(self.store.read("product_associations"))
-        return pairs, views.rules_view(self.store.read("product_recommendations"))
+        now = self.store.snapshot()
+        pairs = views.pairs_view(now.read("product_associations"))
+        return pairs, views.rules_view(now.read("product_recommendations"))
 
     def transactions(self, page: int = 1, descending: bool = True) -> tuple[DataFrame, DataFrame]:
         table = self.store.read("transactions")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tillroll.operators import baskets, clean
+from tillroll.runtime import scratch
 from tillroll.sources.store import ResultStore
 
 
@@ -15,9 +16,10 @@ def run_recommendations(
 
     The needed columns are written out once, because mining and the descriptions both read them.
     """
-    lines = store.write(clean.basket_lines(raw).select("InvoiceNo", "StockCode", "Description"), "basket_lines")
-    mined = baskets.mine(lines, min_support, min_confidence)
-    itemsets = store.write(mined.itemsets, "frequent_itemsets")
-    pairs = store.write(baskets.item_pairs(itemsets, lines, top_n), "product_associations")
-    rules = store.write(baskets.product_rules(mined.rules, lines, top_n), "product_recommendations")
-    return pairs, rules
+    with scratch(raw.sparkSession):
+        lines = store.write(clean.basket_lines(raw).select("InvoiceNo", "StockCode", "Description"), "basket_lines")
+        mined = baskets.mine(lines, min_support, min_confidence)
+        itemsets = store.write(mined.itemsets, "frequent_itemsets")
+        pairs = store.write(baskets.item_pairs(itemsets, lines, top_n), "product_associations")
+        rules = store.write(baskets.product_rules(mined.rules, lines, top_n), "product_recommendations")
+        return pairs, rules

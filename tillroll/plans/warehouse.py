@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 
 from tillroll.functions.columns import ISO_LAYOUT
 from tillroll.operators import baskets, clean, customers, geography, products, revenue, rollups
-from tillroll.runtime import held
+from tillroll.runtime import held, scratch
 from tillroll.sources.store import create_if_absent, use_database
 
 
 def build_warehouse(
-    raw: DataFrame, database: str, layout: clean.Layout = ISO_LAYOUT, partition_by: tuple[str, ...] = ()
+    raw: DataFrame, database: str, layout: clean.Layout = ISO_LAYOUT, partition_by: tuple[str, ...] = (), buckets: int = 0
 ) -> list[str]:
-    """Create the tables in ``database`` and return their names. Nothing is computed for a table that exists."""
+    """Create the tables in ``database`` and return their names. Nothing is computed for a table that exists.
+
+    With ``buckets`` the fact is bucketed and sorted by invoice: the roll-up, baskets, pairs and merging start without moving lines.
+    """
     spark = raw.sparkSession
     use_database(spark, database)
-    fact = create_if_absent(spark, "transactions", lambda: clean.member_lines(raw, layout), partition_by)
-    with held(rollups.invoice_rollup(fact)) as invoices:
+    fact = create_if_absent(
+        spark, "transactions", lambda: clean.member_lines(raw, layout), partition_by, buckets, ("InvoiceNo",), clean.LINE_KEY
+    )
+    with scratch(spark), held(rollups.invoice_rollup(fact)) as invoices:
         reports = {
             "monthly_revenue": lambda: revenue.monthly_by_invoices(invoices),
             "daily_revenue": lambda: revenue.weekday_by_invoices(invoices),
@@ -30,6 +35,6 @@ def build_warehouse(
         for name, report in reports.items():
             create_if_absent(spark, name, report)
         rfm = create_if_absent(spark, "customer_rfm", lambda: customers.rfm_by_invoices(invoices))
-    create_if_absent(spark, "customer_segments", lambda: customers.segment_statistics_by_value(rfm))
-    create_if_absent(spark, "basket_analysis", lambda: baskets.top_line_pairs(fact))
+        create_if_absent(spark, "customer_segments", lambda: customers.segment_statistics_by_value(rfm))
+        create_if_absent(spark, "basket_analysis", lambda: baskets.top_line_pairs(fact))
     return ["transactions", *reports, "customer_rfm", "customer_segments", "basket_analysis"]

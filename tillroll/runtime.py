@@ -1,28 +1,79 @@
-"""Session-level helpers: where intermediates are cut, and how they are reused."""
+"""Session-level helpers: where intermediates are cut, how long they live, and how they are reused."""
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_scope: ContextVar[str | None] = ContextVar("tillroll_scratch", default=None)
+_registered: set[str] = set()
+_log = logging.getLogger(__name__)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """Hadoop's file system of a path, which may be any that Spark can write to, and the path in its terms."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()), where
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there. A folder that cannot be deleted is reported, and does not end a run that has its results."""
+    files, where = _file_system(spark, path)
+    try:
+        files.delete(where, True)
+    except Py4JJavaError as error:
+        _log.warning("%s stays: %s", path, error.java_exception)
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have the driver delete a folder when it ends."""
+    files, where = _file_system(spark, path)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+
 
 def cut_folder(spark: SparkSession) -> str:
     """Folder for intermediates of this application, on storage that the driver and all executors share.
 
     It lies below ``spark.checkpoint.dir`` if the session names one, else below the warehouse, which holds shared
-    tables already.
+    tables already. It is removed when the driver ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/tillroll-{spark.sparkContext.applicationId}"
+    folder = f"{shared.rstrip('/')}/tillroll-{spark.sparkContext.applicationId}"
+    if folder not in _registered:
+        _remove_at_end(spark, folder)
+        _registered.add(folder)
+    return folder
 
 
 def fresh_path(spark: SparkSession) -> str:
-    """A path below ``cut_folder`` that nothing uses yet."""
-    return f"{cut_folder(spark)}/{uuid.uuid4().hex}"
+    """A path below the innermost ``scratch``, else below ``cut_folder``, that nothing uses yet."""
+    return f"{_scope.get() or cut_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Own the intermediates that are cut inside the block: their folder is removed at its end, also after an error.
+
+    For work whose results are written or read before the block ends. A frame that leaves the block must not rest on a
+    cut made inside.
+    """
+    folder = fresh_path(spark)
+    before = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(before)
+        remove_path(spark, folder)
 
 
 def cut(df: DataFrame) -> DataFrame:

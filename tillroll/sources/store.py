@@ -1,57 +1,134 @@
-"""Result tables: named Parquet folders or catalog tables."""
+"""Result tables: named, versioned folders or catalog tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_NAMES = "result_names"  # a row for each result, so that listing them needs no access to the file system
+from tillroll.runtime import remove_path
+
+_NAMES = "result_names"  # a row for each version of a result: which folder holds it, and its schema
+_ENTRY = "of string, at int, version string, schema string"
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The results that were current at one moment. Reading them asks the store no more."""
+
+    store: ResultStore
+    entries: Mapping[str, tuple[str, str]]  # name to version and schema
+
+    def names(self) -> list[str]:
+        """Names of the results that have been written."""
+        return sorted(self.entries)
+
+    def read(self, name: str) -> DataFrame:
+        """Read a result."""
+        if name not in self.entries:
+            raise KeyError(f"no result {name!r} in {self.store.root}")
+        version, schema = self.entries[name]
+        return self.store._load(name, version, T.StructType.fromJson(json.loads(schema)))
 
 
 @dataclass(frozen=True)
 class ResultStore:
-    """Named results below one folder. ``format`` may be any data source the session has."""
+    """Named results below one folder. ``format`` may be any data source the session has.
+
+    Every write makes a new version beside the old one, in a folder of its own. A small row then names it, and only with that row it becomes
+    current: a run that dies half-way leaves the last result as it was. The newest ``keep`` versions of a name stay,
+    so that readers of the version before can end. Of two writers that replace the same version at a time, one fails.
+    """
 
     spark: SparkSession
     root: str
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
-
-    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    keep: int = 2
+
+    def path(self, name: str, version: str | None = None) -> str:
+        return f"{self.root.rstrip('/')}/{name}" + (f"/{version}" if version else "")
+
+    def _load(self, name: str, version: str, schema: T.StructType) -> DataFrame:
+        reader = self.spark.read.format(self.format).schema(schema).options(**self.options)
+        return reader.load(self.path(name, version))
+
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: Sequence[str] = (),
+        finish: Callable[[DataFrame], DataFrame] | None = None,
+        sort_by: Sequence[str] = (),
+        rows_per_file: int | None = None,
+    ) -> DataFrame:
         """Replace a result and return it read back, so that later steps start from the files.
 
         A partitioned result is rebalanced on its partition columns first: files stay large, and a month
-        with far more rows than the others is split over several tasks.
+        with far more rows than the others is split over several tasks. A result with ``sort_by`` is dealt out in ranges of these columns and
+        sorted, in files of ``rows_per_file`` rows at most, so that reads by them skip files and row groups by their statistics. ``finish``
+        is applied to the frame as it is written, after rows have moved for the last time.
         """
+        version = uuid.uuid4().hex
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite").format(self.format).options(**self.options)
+        elif sort_by:
+            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        if finish is not None:
+            df = finish(df)
+        writer = df.write.mode("errorifexists").format(self.format).options(**self.options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(name))
-        named = self.spark.createDataFrame([(name,)], "name string").coalesce(1)
-        named.write.mode("overwrite").parquet(f"{self.path(_NAMES)}/of={name}")
-        return self.spark.read.format(self.format).schema(df.schema).options(**self.options).load(self.path(name))
+        if rows_per_file:
+            writer = writer.option("maxRecordsPerFile", rows_per_file)
+        try:
+            writer.save(self.path(name, version))
+        except BaseException:
+            remove_path(self.spark, self.path(name, version))
+            raise
+        self._publish(name, version, df.schema)
+        return self._load(name, version, df.schema)
+
+    def _entries(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_ENTRY).parquet(self.path(_NAMES))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _publish(self, name: str, version: str, schema: T.StructType) -> None:
+        """Make a version the current one, and remove those that are older than the newest ``keep``."""
+        entries = self._entries()
+        older = [] if entries is None else entries.where(F.col("of") == name).orderBy("at").collect()
+        place = older[-1]["at"] + 1 if older else 1
+        row = self.spark.createDataFrame([(version, schema.json())], "version string, schema string").coalesce(1)
+        row.write.mode("errorifexists").parquet(f"{self.path(_NAMES)}/of={name}/at={place}")
+        for old in older[: max(0, len(older) + 1 - self.keep)]:
+            remove_path(self.spark, f"{self.path(_NAMES)}/of={name}/at={old['at']}")
+            remove_path(self.spark, self.path(name, old["version"]))
+
+    def snapshot(self) -> Snapshot:
+        """The current version of every result, by one small read."""
+        entries = self._entries()
+        if entries is None:
+            return Snapshot(self, {})
+        newest = entries.groupBy("of").agg(F.max_by(F.struct("version", "schema"), "at").alias("now"))
+        return Snapshot(self, {r["of"]: (r["now"]["version"], r["now"]["schema"]) for r in newest.collect()})
 
     def read(self, name: str) -> DataFrame:
         """Read a result."""
-        return self.spark.read.format(self.format).options(**self.options).load(self.path(name))
+        return self.snapshot().read(name)
 
     def names(self) -> list[str]:
         """Names of the results that have been written."""
-        try:
-            found = self.spark.read.schema("name string").parquet(self.path(_NAMES)).distinct().collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return sorted(row["name"] for row in found)
+        return self.snapshot().names()
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -61,14 +138,29 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def create_if_absent(
-    spark: SparkSession, table: str, made: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+    spark: SparkSession,
+    table: str,
+    made: Callable[[], DataFrame],
+    partition_by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Create a table from a query unless the table exists (S5). ``made`` is not called if it does."""
+    """Create a table from a query unless the table exists (S5). ``made`` is not called if it does.
+
+    With ``buckets`` the rows are dealt out by a hash of ``bucket_by`` and sorted: later grouping and joining by these columns moves
+    no row. A value that holds a large share of all rows is then one task's work in each of these steps, so give columns
+    without such a value.
+    """
     if not spark.catalog.tableExists(table):
         df = made()
-        if partition_by:
+        if buckets:
+            df = df.repartition(buckets, *bucket_by)  # a file a bucket, instead of one for each task and bucket
+        elif partition_by:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("ignore").format("parquet")
+        if buckets:
+            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*(sort_by or bucket_by))
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
     return spark.table(table)
 
