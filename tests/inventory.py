@@ -6,18 +6,18 @@ A value names registered queries, or a test as file::function.
 COVERAGE: dict[str, tuple[str, ...]] = {
     # scans, sources, sinks, catalog
     "S1": ("test_clean.py::test_malformed_fields_become_null_and_are_reported", "s1_f1_csv_lines"),
-    "S2": ("test_clean.py::test_inferred_types",),
+    "S2": ("test_clean.py::test_inferred_types", "s2_inferred_lines"),
     "S3": ("test_clean.py::test_external_table_skips_the_header", "s3_external_lines"),
-    "S4": ("test_runs.py::test_warehouse_tables_are_created_once",),
-    "S5": ("test_runs.py::test_warehouse_tables_are_created_once",),
-    "S6": ("test_runs.py::test_fact_is_read_by_partition",),
-    "S7": ("test_runs.py::test_ledger_run_writes_every_result",),
-    "S8": ("test_runs.py::test_dashboard_reads",),
-    "S9": ("test_runs.py::test_warehouse_tables_are_created_once",),
-    "S10": ("test_runs.py::test_missing_store_folder_has_no_results",),
+    "S4": ("test_runs.py::test_warehouse_tables_are_created_once", "s4_s5_warehouse_countries"),
+    "S5": ("test_runs.py::test_warehouse_tables_are_created_once", "s4_s5_warehouse_countries", "s5_bucketed_invoices"),
+    "S6": ("test_runs.py::test_fact_is_read_by_partition", "s7_replaced_result"),
+    "S7": ("test_runs.py::test_ledger_run_writes_every_result", "s7_replaced_result"),
+    "S8": ("test_runs.py::test_dashboard_reads", "v1_written_overview", "v5_written_months", "v4_written_products", "v6_written_countries", "v7_written_segments"),
+    "S9": ("test_runs.py::test_warehouse_tables_are_created_once", "s9_warehouse_view"),
+    "S10": ("test_runs.py::test_missing_store_folder_has_no_results", "s10_warehouse_tables"),
     "S11": ("test_runs.py::test_ledger_run_writes_every_result",),
-    "S12": ("test_views.py::test_last_rows_are_returned_in_ascending_order",),
-    "S13": ("s13_run_summary",),
+    "S12": ("test_views.py::test_last_rows_are_returned_in_ascending_order", "s12_preview"),
+    "S13": ("s13_run_summary", "s13_written_summary"),
     # projections, filters, predicates
     "P1": ("d2_ledger_lines",),
     "P2": ("d1_merge_repeats",),
@@ -43,7 +43,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "A1": ("r15_invoice_transactions",),
     "A2": ("r16_overview",),
     "A3": ("r1_monthly_by_lines",),
-    "A4": ("r2_monthly_by_invoices", "r16_overview"),
+    "A4": ("r2_monthly_by_invoices", "r16_overview", "a4_sketched_months", "a4_sketched_countries"),
     "A5": ("r1_monthly_by_lines",),
     "A6": ("r1_monthly_by_lines", "r8_top_by_revenue"),
     "A7": ("r16_overview", "c5_shopper_base"),
@@ -62,7 +62,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "W4": ("r14_monthly_trend",),
     "W5": ("v6_countries", "v7_segment_counts"),
     "W6": ("v5_monthly",),
-    "W7": ("v4_products_by_revenue", "v9_transactions_largest"),
+    "W7": ("v4_products_by_revenue", "v9_transactions_largest", "w7_invoice_positions"),
     # sorts, limits, paging
     "L1": ("test_views.py::test_months_show_their_direction", "l1_countries_in_order"),
     "L2": ("r7_top_by_quantity", "r17_top_spenders"),
@@ -119,7 +119,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "R16": ("r16_overview",),
     "R17": ("r17_top_spenders",),
     "R18": ("r18_repeat_purchases",),
-    "R19": ("test_runs.py::test_ledger_run_writes_every_result", "r19_ledger_run"),
+    "R19": ("test_runs.py::test_ledger_run_writes_every_result", "r19_ledger_run", "r19_text_ledger_run"),
     "Q1": ("q1_null_counts",),
     "Q2": ("q2_lines_without_customer",),
     "Q3": ("q3_suspicious_counts",),
@@ -136,7 +136,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "C8": ("c8_cluster_statistics",),
     "C9": ("test_runs.py::test_segments_cover_all_customers", "c9_segmentation_run"),
     # baskets
-    "B1": ("b1_baskets",),
+    "B1": ("b1_baskets", "b1_wide_baskets"),
     "B2": ("b2_product_dimension",),
     "B3": ("b3_frequent_itemsets", "b3_part_itemsets"),
     "B4": ("b4_association_rules",),
@@ -145,15 +145,15 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "B7": ("b7_brand_line_pairs", "b7_part_line_pairs"),
     "B8": ("test_runs.py::test_recommendations_are_sane", "b8_recommendation_run"),
     # dashboard reads
-    "V1": ("v1_overview", "v1_front_products"),
-    "V2": ("v2_customers_page", "v2_segment_page", "v2_page_count", "v2_segments"),
+    "V1": ("v1_overview", "v1_front_products", "v1_written_overview"),
+    "V2": ("v2_customers_page", "v2_segment_page", "v2_page_count", "v2_segments", "v2_written_page"),
     "V3": ("v3_customer_details", "p10_find_customer"),
     "V4": ("v4_products_by_revenue", "v4_products_by_quantity"),
     "V5": ("v5_monthly", "v5_weekdays", "v5_hours_v12_busy"),
     "V6": ("v6_countries", "v6_country_totals"),
-    "V7": ("v7_segment_counts", "v7_segment_statistics"),
+    "V7": ("v7_segment_counts", "v7_segment_statistics", "v1_written_split"),
     "V8": ("v8_pairs", "v8_rules"),
-    "V9": ("v9_transactions_largest", "v9_transactions_smallest", "v9_page_count"),
+    "V9": ("v9_transactions_largest", "v9_transactions_smallest", "v9_page_count", "v9_written_page"),
     "V10": ("v10_largest_by_hour", "v10_largest_summary"),
     "V11": ("v11_hour_histogram",),
     "V12": ("v5_hours_v12_busy",),

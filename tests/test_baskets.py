@@ -90,3 +90,21 @@ def test_top_pairs_equal_brute_force(spark, top_n, seed_codes):
     )
     ranked = sorted(brute_force(invoices, 1).items(), key=lambda item: (-item[1], item[0]))[:top_n]
     assert [((r.Product1, r.Product2), r.Frequency) for r in found.collect()] == ranked
+
+
+def test_an_invoice_of_very_many_codes_is_held_in_bounded_segments(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.operators.baskets import basket_segments, baskets, whole_baskets
+
+    wide = spark.range(1_000_000).select(F.lit("w").alias("InvoiceNo"), F.concat(F.lit("s"), "id").alias("StockCode"))
+    few = spark.createDataFrame([("n", "b"), ("n", "a"), ("n", "a"), ("one", "a")], "InvoiceNo string, StockCode string")
+    segments = basket_segments(wide.unionByName(few)).cache()
+    sizes = segments.groupBy("InvoiceNo").agg(F.count("*").alias("n"), F.max(F.size("items")).alias("most"), F.sum(F.size("items")).alias("all"))
+    found = {r.InvoiceNo: (r.n, r["most"], r["all"]) for r in sizes.collect()}
+    assert set(found) == {"w", "n"} and found["n"] == (1, 2, 2)
+    assert found["w"][0] > 400 and found["w"][1] <= 4096 and found["w"][2] == 1_000_000
+    narrow = basket_segments(few, most=1)
+    assert whole_baskets(narrow).collect() == baskets(few).collect()
+    assert whole_baskets(segments).filter("InvoiceNo = 'n'").first()["items"] == ["a", "b"]
+    assert whole_baskets(segments).filter("InvoiceNo = 'w'").select(F.size("items")).first()[0] == 1_000_000

@@ -26,15 +26,35 @@ def baskets(lines: DataFrame) -> DataFrame:
     return collected.filter(F.size("items") >= _MIN_ITEMS)
 
 
+def basket_segments(lines: DataFrame, most: int = 4096) -> DataFrame:
+    """The baskets of ``baskets`` in numbered segments: InvoiceNo, Width (codes of the invoice), Segment and items, a sorted array.
+
+    Codes are dealt to ceil(2 * Width / most) segments by a hash, so an array holds about ``most`` / 2 of them however wide its invoice is, and the invoice is
+    the work of many tasks. ``whole_baskets`` puts them together for readers that need whole arrays.
+    """
+    occurrences = cut(_occurrences(lines))
+    widths = occurrences.groupBy("InvoiceNo").agg(F.count("*").alias("Width")).filter(F.col("Width") >= _MIN_ITEMS)
+    parts = F.when(F.col("Width") <= most, 1).otherwise(F.ceil(2 * F.col("Width") / most))
+    placed = occurrences.join(cut(widths), "InvoiceNo").withColumn("Segment", F.pmod(F.xxhash64("StockCode"), parts).cast("int"))
+    return placed.groupBy("InvoiceNo", "Width", "Segment").agg(F.array_sort(F.collect_list("StockCode")).alias("items"))
+
+
+def whole_baskets(segments: DataFrame) -> DataFrame:
+    """Baskets as one sorted array each, from ``basket_segments``. A narrow invoice is one segment already and does not move."""
+    whole = segments.filter(F.size("items") == F.col("Width")).select("InvoiceNo", "items")
+    parts = segments.filter(F.size("items") < F.col("Width")).groupBy("InvoiceNo")
+    return whole.unionByName(parts.agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items")))
+
+
 def mining_baskets(lines: DataFrame, min_support: float) -> DataFrame:
     """The baskets of ``baskets`` without stock codes that are too rare to be in any frequent itemset.
 
     A frequent code is in at least ``min_support`` of the baskets, so there are at most (mean basket size /
     min_support) of them. That bounds every array, whatever the largest invoice holds, and the frequent codes.
-    Baskets left empty stay, so supports keep their denominator. Both aggregates are written before they are joined, so that
-    adaptive execution can split a code or an invoice with very many lines.
+    Baskets left empty stay, so supports keep their denominator. Occurrences are made distinct once; they and both aggregates are written
+    before they are joined, so that adaptive execution can split a code or an invoice with very many lines.
     """
-    occurrences = _occurrences(lines)
+    occurrences = cut(_occurrences(lines))
     sizes = occurrences.groupBy("InvoiceNo").agg(F.count("*").alias("items_bought"))
     eligible = cut(sizes.filter(F.col("items_bought") >= _MIN_ITEMS).select("InvoiceNo"))
     bought = occurrences.join(eligible, "InvoiceNo", "left_semi")
@@ -145,7 +165,7 @@ def _paired_rows(lines: DataFrame, more_than: int, wide_basket: int) -> DataFram
     code: ``bound`` over all invoices, ``wide_bound`` over those wider than ``wide_basket`` codes.
     """
     known = lines.filter(F.col("InvoiceNo").isNotNull() & F.col("StockCode").isNotNull())
-    bought = known.groupBy("InvoiceNo", "StockCode").agg(F.count("*").alias("lines"))
+    bought = cut(known.groupBy("InvoiceNo", "StockCode").agg(F.count("*").alias("lines")))
     invoices = (
         bought.groupBy("InvoiceNo")
         .agg(F.count("*").alias("width"), F.max("lines").alias("peak"))

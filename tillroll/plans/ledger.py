@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.columns import ISO_LAYOUT
 from tillroll.operators import clean, customers, geography, products, quality, revenue, rollups
+from tillroll.operators.positions import numbered
 from tillroll.runtime import cut, scratch
 from tillroll.sources.store import ResultStore
 
 FACT = "processed_data"
 INVOICES = "invoice_rollup"
 ROWS_PER_FILE = 200_000  # of results that are read by page
-PAGE_ORDER = ("TotalAmount", "InvoiceNo", "CustomerID", "Country")
 
 
 def write_fact(raw: DataFrame, store: ResultStore, layout: clean.Layout = ISO_LAYOUT) -> tuple[DataFrame, DataFrame]:
@@ -34,7 +34,7 @@ def write_fact(raw: DataFrame, store: ResultStore, layout: clean.Layout = ISO_LA
 def run_ledger(raw: DataFrame, store: ResultStore, layout: clean.Layout = ISO_LAYOUT) -> DataFrame:
     """Write the fact and every report; return the one-row summary.
 
-    The source is read and cleaned once. All reports but the product ones start from an invoice roll-up written next to the fact, and
+    The source is read and cleaned once. The invoice table holds the place of each invoice by amount and is laid out by it. All reports but the product ones start from an invoice roll-up written next to the fact, and
     the five reports by time or country from sums that one pass over it makes. Intermediates are removed at the end.
     """
     with scratch(raw.sparkSession):
@@ -52,6 +52,6 @@ def run_ledger(raw: DataFrame, store: ResultStore, layout: clean.Layout = ISO_LA
         store.write(products.top_by_revenue(sums), "top_products_revenue")
         rfm = store.write(customers.rfm_by_lines(invoices), "customer_rfm")
         store.write(customers.segment_statistics(rfm), "customer_segments")
-        paged = rollups.invoice_transactions(invoices)
-        store.write(paged, "transactions", sort_by=PAGE_ORDER, rows_per_file=ROWS_PER_FILE)
+        placed = numbered(rollups.invoice_transactions(invoices), F.desc("TotalAmount"), "InvoiceNo", "CustomerID", "Country")
+        store.write(placed, "transactions", sort_by=("Position",), rows_per_file=ROWS_PER_FILE)
     return summary

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -21,14 +23,18 @@ from tillroll.operators import (
     rollups,
     views,
 )
-from tillroll.plans.ledger import run_ledger
+from tillroll.operators.positions import numbered
+from tillroll.plans.dashboard import Dashboard
+from tillroll.plans.intake import stage_lines
+from tillroll.plans.ledger import run_ledger, write_fact
 from tillroll.plans.recommendations import run_recommendations
 from tillroll.plans.segmentation import run_segmentation
-from tillroll.runtime import fresh_path
+from tillroll.plans.warehouse import build_warehouse
+from tillroll.runtime import cut, fresh_path
 from tillroll.schema import RAW_COLUMNS
-from tillroll.sources.lines import declare_external, read_lines, with_times
+from tillroll.sources.lines import declare_external, read_lines, read_lines_inferred, with_times
 from tillroll.sources.star import star_lines, star_regions
-from tillroll.sources.store import ResultStore
+from tillroll.sources.store import ResultStore, as_view, create_if_absent, preview, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,11 +120,6 @@ def _texts(spark: SparkSession, folder: str, pattern: str) -> str:
     return path
 
 
-def _in_order(report: DataFrame) -> DataFrame:
-    """A sorted report with the place of each row as it comes."""
-    return report.coalesce(1).withColumn("Place", F.monotonically_increasing_id() + 1)
-
-
 def _results(spark: SparkSession) -> ResultStore:
     return ResultStore(spark, fresh_path(spark))
 
@@ -175,6 +176,20 @@ def _external(spark: SparkSession, folder: str) -> DataFrame:
     return declare_external(spark, f"lines_{path.rsplit('/', 1)[1]}", path)
 
 
+@query("s2_inferred_lines")
+def _inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """Types as Spark infers them, but that the codes, which look like numbers here, leave as text."""
+    lines = read_lines_inferred(spark, _texts(spark, folder, ISO_LAYOUT))
+    return lines.withColumns({c: F.col(c).cast("string") for c in ("InvoiceNo", "StockCode")})
+
+
+@query("r19_text_ledger_run")
+def _text_run(spark: SparkSession, folder: str) -> DataFrame:
+    """From text files to results: staged once, then the whole ledger run."""
+    store = _results(spark)
+    run_ledger(stage_lines(read_lines(spark, _texts(spark, folder, ISO_LAYOUT)), store), store)
+    return store.read("country_performance")
+
 
 # -- quality --------------------------------------------------------------------------------------------------------
 
@@ -184,6 +199,7 @@ query("q3_suspicious_counts")(lambda s, d: quality.suspicious_counts(_raw(s, d))
 query("q4_removal_report")(lambda s, d: quality.removal_report(_raw(s, d)))
 query("q5_rule_violations")(lambda s, d: quality.rule_violations(_raw(s, d)))
 query("s13_run_summary")(lambda s, d: quality.run_summary(_raw(s, d), _ledger(s, d)))
+query("s13_written_summary")(lambda s, d: write_fact(star_lines(s, d, _BILLED), _results(s))[1])
 
 # -- reports --------------------------------------------------------------------------------------------------------
 
@@ -252,6 +268,9 @@ def _joined(items: str) -> Column:
 
 
 query("b1_baskets")(lambda s, d: baskets.baskets(_basket(s, d)).select("InvoiceNo", _joined("items").alias("Items")))
+query("b1_wide_baskets")(
+    lambda s, d: baskets.whole_baskets(baskets.basket_segments(_basket(s, d), most=4)).select("InvoiceNo", _joined("items").alias("Items"))
+)
 query("b2_product_dimension")(lambda s, d: products.descriptions(clean.basket_lines(_raw(s, d))))
 
 
@@ -323,7 +342,127 @@ def _recommendation_run(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("product_recommendations")
 
 
-query("l1_countries_in_order")(lambda s, d: _in_order(geography.countries_by_lines(_ledger(s, d))))
+query("l1_countries_in_order")(
+    lambda s, d: numbered(geography.countries_by_lines(_ledger(s, d)), F.desc("TotalRevenue"), "Country", name="Place")
+)
+query("w7_invoice_positions")(
+    lambda s, d: numbered(_transactions(s, d), F.desc("TotalAmount"), "InvoiceNo", "CustomerID", "Country").select(
+        "InvoiceNo", "TotalAmount", "Position"
+    )
+)
+
+
+@query("s7_replaced_result")
+def _replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """A result that was replaced twice, the second time in vain: the write fails half-way."""
+    store = _results(spark)
+    months = store.write(revenue.monthly_by_lines(_ledger(spark, folder)), "months")
+    store.write(revenue.monthly_totals(_ledger(spark, folder)), "months")
+    try:
+        store.write(months.withColumn("TotalOrders", F.raise_error(F.lit("lost")).cast("long")), "months")
+    except PySparkException:
+        return store.read("months")
+    raise AssertionError("the write should have failed")
+
+
+def _database(spark: SparkSession, folder: str, buckets: int = 0) -> str:
+    """The member warehouse in a database of its own; returns its name. The session's database stays the current one."""
+    before, name = spark.catalog.currentDatabase(), f"member_{fresh_path(spark).rsplit('/', 1)[1]}"
+    build_warehouse(_raw(spark, folder), name, buckets=buckets)
+    spark.catalog.setCurrentDatabase(before)
+    return name
+
+
+@query("s4_s5_warehouse_countries")
+def _warehouse_countries(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(f"{_database(spark, folder)}.country_performance")
+
+
+@query("s9_warehouse_view")
+def _warehouse_view(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL text over a view of a table."""
+    name = _database(spark, folder)
+    as_view(spark.table(f"{name}.customer_rfm"), f"rfm_{name}")
+    return spark.sql(f"SELECT CustomerSegment, count(*) AS Customers, max(Frequency) AS MostOrders FROM rfm_{name} GROUP BY CustomerSegment")
+
+
+@query("s10_warehouse_tables")
+def _warehouse_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every table that the catalog lists for the warehouse."""
+    before, name = spark.catalog.currentDatabase(), _database(spark, folder)
+    spark.catalog.setCurrentDatabase(name)
+    listed = [t for t in table_names(spark) if not t.startswith("rfm_")]
+    spark.catalog.setCurrentDatabase(before)
+    counts = [spark.table(f"{name}.{t}").agg(F.lit(t).alias("TableName"), F.count("*").alias("LineCount")) for t in listed]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("s5_bucketed_invoices")
+def _bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The invoice table from a fact that is bucketed by invoice."""
+    name = f"fact_{fresh_path(spark).rsplit('/', 1)[1]}"
+    fact = create_if_absent(
+        spark, name, lambda: _ledger(spark, folder), buckets=8, bucket_by=("InvoiceNo",), sort_by=clean.LINE_KEY
+    )
+    return rollups.invoice_transactions(fact)
+
+
+query("s12_preview")(lambda s, d: preview(revenue.monthly_by_lines(_ledger(s, d)), 5))
+
+# -- distinct counts from sketches ----------------------------------------------------------------------------------
+
+
+def _within(exact: DataFrame, near: DataFrame, keys: tuple[str, ...], counts: tuple[str, ...]) -> DataFrame:
+    """Exact counts, and whether those of the sketches are within their stated error."""
+    sketched = near.select(*keys, *[F.col(c).alias(f"{c}Sketched") for c in counts])
+    close = {f"{c}Close": F.abs(F.col(f"{c}Sketched") - F.col(c)) <= F.col(c) * rollups.sketch_error() for c in counts}
+    return exact.join(sketched, list(keys)).withColumns(close).drop(*sketched.columns[len(keys) :])
+
+
+@query("a4_sketched_months")
+def _sketched_months(spark: SparkSession, folder: str) -> DataFrame:
+    invoices = cut(_member_invoices(spark, folder))
+    sketches = rollups.sketch_rollup(invoices)
+    counts = ("TotalOrders", "TotalCustomers")
+    return _within(revenue.monthly_by_invoices(invoices), revenue.monthly_by_invoices(sketches), ("Year", "Month"), counts)
+
+
+@query("a4_sketched_countries")
+def _sketched_countries(spark: SparkSession, folder: str) -> DataFrame:
+    invoices = cut(_member_invoices(spark, folder))
+    sketches = rollups.sketch_rollup(invoices)
+    exact, near = geography.countries_by_invoices(invoices), geography.countries_by_invoices(sketches)
+    return _within(exact, near, ("Country",), ("TotalCustomers", "TotalOrders"))
+
+
+# -- pages of written results ---------------------------------------------------------------------------------------
+
+_boards: dict[tuple[str, str, str], ResultStore] = {}
+
+
+def _board(spark: SparkSession, folder: str, *runs: str) -> Dashboard:
+    """A dashboard over results that each run writes once in an application."""
+    work = {
+        "ledger": lambda store: run_ledger(_raw(spark, folder), store),
+        "segmentation": lambda store: run_segmentation(_raw(spark, folder), store),
+    }
+    key = (spark.sparkContext.applicationId, folder, "+".join(runs))
+    if key not in _boards:
+        store = _results(spark)
+        for run in runs:
+            work[run](store)
+        _boards[key] = store
+    return Dashboard(_boards[key])
+
+
+query("v1_written_overview")(lambda s, d: _board(s, d, "ledger", "segmentation").overview()[0])
+query("v1_written_split")(lambda s, d: _board(s, d, "ledger", "segmentation").overview()[1])
+query("v2_written_page")(lambda s, d: _board(s, d, "ledger", "segmentation").customers(2)[0])
+query("v4_written_products")(lambda s, d: _board(s, d, "ledger", "segmentation").products(50)[0])
+query("v5_written_months")(lambda s, d: _board(s, d, "ledger", "segmentation").revenue()[0])
+query("v6_written_countries")(lambda s, d: _board(s, d, "ledger", "segmentation").countries()[0])
+query("v7_written_segments")(lambda s, d: _board(s, d, "ledger", "segmentation").segments()[1])
+query("v9_written_page")(lambda s, d: _board(s, d, "ledger", "segmentation").transactions(3)[0])
 
 # -- dashboard reads ------------------------------------------------------------------------------------------------
 

@@ -34,6 +34,35 @@ def remove_path(spark: SparkSession, path: str) -> None:
         _log.warning("%s stays: %s", path, error.java_exception)
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet; readers see all of it or nothing."""
+    files, where = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.exists(where) or not files.rename(draft, where):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def small_text(spark: SparkSession, path: str) -> str:
+    files, where = _file_system(spark, path)
+    stream = files.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, none if it is not there."""
+    files, where = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
 def _remove_at_end(spark: SparkSession, path: str) -> None:
     """Have the driver delete a folder when it ends."""
     files, where = _file_system(spark, path)

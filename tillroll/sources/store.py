@@ -6,16 +6,14 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.runtime import remove_path
+from tillroll.runtime import file_names, remove_path, small_text, write_once
 
-_NAMES = "result_names"  # a row for each version of a result: which folder holds it, and its schema
-_ENTRY = "of string, at int, version string, schema string"
+_NAMES = "result_names"  # a small file for each version of a result, <name>.<number>: which folder holds it, and its schema
 
 
 @dataclass(frozen=True)
@@ -23,7 +21,7 @@ class Snapshot:
     """The results that were current at one moment. Reading them asks the store no more."""
 
     store: ResultStore
-    entries: Mapping[str, tuple[str, str]]  # name to version and schema
+    entries: Mapping[str, int]  # name to number of its version
 
     def names(self) -> list[str]:
         """Names of the results that have been written."""
@@ -33,15 +31,15 @@ class Snapshot:
         """Read a result."""
         if name not in self.entries:
             raise KeyError(f"no result {name!r} in {self.store.root}")
-        version, schema = self.entries[name]
-        return self.store._load(name, version, T.StructType.fromJson(json.loads(schema)))
+        version, schema = self.store._entry(name, self.entries[name])
+        return self.store._load(name, version, schema)
 
 
 @dataclass(frozen=True)
 class ResultStore:
     """Named results below one folder. ``format`` may be any data source the session has.
 
-    Every write makes a new version beside the old one, in a folder of its own. A small row then names it, and only with that row it becomes
+    Every write makes a new version beside the old one, in a folder of its own. A small file then names it, and only with that file it becomes
     current: a run that dies half-way leaves the last result as it was. The newest ``keep`` versions of a name stay,
     so that readers of the version before can end. Of two writers that replace the same version at a time, one fails.
     """
@@ -95,32 +93,35 @@ class ResultStore:
         self._publish(name, version, df.schema)
         return self._load(name, version, df.schema)
 
-    def _entries(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_ENTRY).parquet(self.path(_NAMES))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def _numbers(self) -> dict[str, list[int]]:
+        """Numbers of the versions of every result, by one listing."""
+        found: dict[str, list[int]] = {}
+        for file in file_names(self.spark, self.path(_NAMES)):
+            name, _, number = file.rpartition(".")
+            if name and number.isdecimal():
+                found.setdefault(unquote(name), []).append(int(number))
+        return {name: sorted(numbers) for name, numbers in found.items()}
+
+    def _entry_path(self, name: str, number: int) -> str:
+        return f"{self.path(_NAMES)}/{quote(name, safe='')}.{number}"
+
+    def _entry(self, name: str, number: int) -> tuple[str, T.StructType]:
+        entry = json.loads(small_text(self.spark, self._entry_path(name, number)))
+        return entry["version"], T.StructType.fromJson(entry["schema"])
 
     def _publish(self, name: str, version: str, schema: T.StructType) -> None:
         """Make a version the current one, and remove those that are older than the newest ``keep``."""
-        entries = self._entries()
-        older = [] if entries is None else entries.where(F.col("of") == name).orderBy("at").collect()
-        place = older[-1]["at"] + 1 if older else 1
-        row = self.spark.createDataFrame([(version, schema.json())], "version string, schema string").coalesce(1)
-        row.write.mode("errorifexists").parquet(f"{self.path(_NAMES)}/of={name}/at={place}")
-        for old in older[: max(0, len(older) + 1 - self.keep)]:
-            remove_path(self.spark, f"{self.path(_NAMES)}/of={name}/at={old['at']}")
-            remove_path(self.spark, self.path(name, old["version"]))
+        older = self._numbers().get(name, [])
+        entry = json.dumps({"version": version, "schema": schema.jsonValue()})
+        write_once(self.spark, self._entry_path(name, older[-1] + 1 if older else 1), entry)
+        for number in older[: max(0, len(older) + 1 - self.keep)]:
+            folder, _ = self._entry(name, number)
+            remove_path(self.spark, self._entry_path(name, number))
+            remove_path(self.spark, self.path(name, folder))
 
     def snapshot(self) -> Snapshot:
-        """The current version of every result, by one small read."""
-        entries = self._entries()
-        if entries is None:
-            return Snapshot(self, {})
-        newest = entries.groupBy("of").agg(F.max_by(F.struct("version", "schema"), "at").alias("now"))
-        return Snapshot(self, {r["of"]: (r["now"]["version"], r["now"]["schema"]) for r in newest.collect()})
+        """The current version of every result."""
+        return Snapshot(self, {name: numbers[-1] for name, numbers in self._numbers().items()})
 
     def read(self, name: str) -> DataFrame:
         """Read a result."""
