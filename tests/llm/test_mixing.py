@@ -93,6 +93,16 @@ def test_mixed_documents_keep_rows_and_columns(spark):
     assert kept.columns[:4] == docs.columns and sum(r.mix_taken for r in kept.collect()) == taken
 
 
+def test_mixed_documents_with_columns_of_any_type_and_name(spark):
+    rows = [(i % 5, "w " * (i % 7), "ab"[i % 2], {"k": i % 3}, i) for i in range(60)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,int>, mix_size int")
+    kept = mixing.mixed_documents(docs)
+    assert kept.columns == [*docs.columns, "mix_size_", "mix_source_size", "mix_target", "mix_taken"]
+    found = kept.collect()
+    assert found and all(r.mix_size_ == len(r.text.split()) and r.mix_size == rows[r.mix_size][4] for r in found)
+    assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
 def test_runs_no_python_on_executors(spark):
     docs = spark.createDataFrame(rows_of([1, 2, 3]), "doc_id long, text string, source string")
     plan = mixing.mixed(docs)._jdf.queryExecution().executedPlan().toString()

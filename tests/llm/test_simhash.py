@@ -100,6 +100,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["1", "9", "None"]
 
 
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    many = "every word of this text differs from those of the others by far".split()
+    a, b = " ".join(many), " ".join(reversed(many))
+    rows = [(1, a, {"k": 1}), (1, b, {"k": 2}), (2, a.upper(), {"k": 3}), (3, "c d e f", None), (3, "c d e f", None), (4, None, None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>")
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, a), (1, b), (3, "c d e f"), (4, "")])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_components(docs).count() == 0 and simhash.keep_one(docs).count() == 0

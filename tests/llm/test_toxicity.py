@@ -89,3 +89,13 @@ def test_words_are_those_of_a_plain_split(separators):
     a, b = Words(pa.array(["one two one"]), SPACES), Words(pa.array(["zz TWO"]), SPACES)
     h = a.hashes()
     assert h[0] == h[2] != h[1] == b.hashes()[1]
+
+
+def test_a_term_counts_alike_in_training_and_scoring_however_often_it_stands(spark):
+    """Three hundred occurrences are more than a byte holds."""
+    bad, good = "grobzig " * 300, "freundlich " * 300
+    rows = [(bad, 1)] * 40 + [(good, 0)] * 120
+    machine = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    docs = spark.createDataFrame([(1, bad), (2, good), (3, "grobzig " * 256)], "doc_id long, text string")
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, machine).collect()}
+    assert found == {1: 1, 2: 0, 3: 1}

@@ -269,16 +269,28 @@ def mixed(docs: DataFrame, share: float = SHARE, most: float = MOST, weights: tu
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with all columns and mix_size, mix_source_size, mix_target, mix_taken."""
-    order = [c for c in docs.columns if c not in ("doc_id", "source")]
-    numbered = docs.withColumn("mix_size", word_count(F.col("text")))
-    numbered = numbered.withColumn("mix_nth", F.row_number().over(_window("doc_id", "source", "mix_size").orderBy(*order)))
+    """The rows of ``docs`` that the mix takes, with all columns and mix_size, mix_source_size, mix_target, mix_taken.
+
+    Nulls: a null text or one without words is never taken; null ids and sources are values like others. Rows that are equal in id, source and size are
+    numbered by their other columns, so ties go the same way in each run; repeated rows are taken each for itself. A column of ``docs`` that is
+    named like an added one stays, and the added one gets a trailing underscore. Columns may have any type. An empty table gives no rows.
+    """
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "source", "text")]
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("content"), F.to_json(F.struct(*rest)).alias("others") if rest else F.lit("").alias("others"),
+    )
+    numbered = whole.withColumn("nth", F.row_number().over(_window("doc_id", "source", "size").orderBy("content", "others")))
     chosen = mixed(docs.select("doc_id", "text", "source")).where("taken > 0")
     chosen = chosen.select(*[F.col(c).alias(f"of_{c}") for c in chosen.columns])
-    facts = ("source_size", "target", "taken")
-    chosen = chosen.withColumnsRenamed({f"of_{c}": f"mix_{c}" for c in facts})
     same = (
         numbered["doc_id"].eqNullSafe(chosen["of_doc_id"]) & numbered["source"].eqNullSafe(chosen["of_source"])
-        & (numbered["mix_size"] == chosen["of_size"]) & (numbered["mix_nth"] == chosen["of_nth"])
+        & (numbered["size"] == chosen["of_size"]) & (numbered["nth"] == chosen["of_nth"])
     )
-    return numbered.join(chosen, same).select(*docs.columns, "mix_size", *[f"mix_{c}" for c in facts])
+    added = []
+    for column in ("size", "source_size", "target", "taken"):
+        name = f"mix_{column}"
+        while name in docs.columns:
+            name += "_"
+        added.append(F.col(f"of_{column}").alias(name))
+    return numbered.join(chosen, same).select("row.*", *added)

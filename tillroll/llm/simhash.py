@@ -128,13 +128,8 @@ def linked_fingerprints(points: DataFrame, radius: int = RADIUS, leaf: int = LEA
     return dealt.mapInArrow(by_group(keys, _links(radius)), "a long, b long")
 
 
-def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """One row per document: ``key``, ``fp`` and ``component_id``, the smallest key that it reaches by links.
-
-    Nulls: a null text counts as empty; a null key stays, and its component is the smallest other key, if any. Repeated rows
-    and texts share a fingerprint. Other columns are not read. An empty table gives no rows.
-    """
-    marked = cut(fingerprints(docs, text, key))
+def _components(marked: DataFrame, key: str, radius: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``marked`` (key, fp): ``root`` names its component, which always has one."""
     classes = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(linked_fingerprints(classes.select("fp"), radius))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -142,18 +137,39 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     )
     rooted = cut(rooted)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, "fp", "component_id")
+    return rooted.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """One row per document: ``key``, ``fp`` and ``component_id``, the smallest key that it reaches by links.
+
+    Nulls: a null text counts as empty; a null key stays, and its component is the smallest other key, if any. Repeated rows
+    and texts share a fingerprint. Other columns are not read. An empty table gives no rows.
+    """
+    marked = cut(fingerprints(docs, text, key))
+    named = _components(marked, key, radius)
+    return marked.join(named.drop("root"), "fp").select(key, "fp", "component_id")
+
+
+def _row(docs: DataFrame) -> F.Column:
+    """Tells rows apart by id and text: an id may come with several texts."""
+    return F.xxhash64(docs["doc_id"], docs["text"])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents whose id is that of their component; of rows that repeat such an id the smallest in all columns.
+    """One row of each component of the rows with an id: that of the smallest id, and of several texts of this id one.
 
-    Rows without an id cannot be named in a group: they stay.
+    Rows of one id with texts that do not link are in components of their own and all stay. Of rows that repeat an id and a text one stays, the
+    smallest in its other columns as JSON, which may have any type. A null text is empty and links with empty ones. Rows without an id cannot
+    be named in a group: they stay. Columns stay as they are. An empty table gives no rows.
     """
-    groups = simhash_components(docs.where("doc_id IS NOT NULL"))
-    heads = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = docs.join(heads, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    one = one.select("doc_id", *[F.col("row").getField(c).alias(c) for c in rest]).select(*docs.columns)
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    known = docs.where("doc_id IS NOT NULL")
+    marked = cut(fingerprints(known.select(_row(known).alias("of"), "text"), key="of").distinct())
+    named = _components(marked, "of", RADIUS).select("fp", "root")
+    ids = known.select(_row(known).alias("of"), F.col("doc_id").alias("id"))
+    heads = ids.join(marked, "of").join(named, "fp").groupBy("root").agg(F.min(F.struct("id", "of")).alias("head"))
+    heads = cut(heads.select(F.col("head.id").alias("head_id"), F.col("head.of").alias("head_of")))
+    kept = known.join(heads, (known["doc_id"] == heads["head_id"]) & (_row(known) == heads["head_of"]), "left_semi")
+    whole = F.struct(*docs.columns)
+    one = kept.groupBy(F.col("doc_id").alias("id"), _row(kept).alias("of")).agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+    return one.select("row.*").unionByName(docs.where("doc_id IS NULL"))

@@ -23,6 +23,7 @@ from tillroll.runtime import cut
 
 FIT_ROWS = 16_000  # labelled documents in the sample, at most about
 BUCKETS = 1 << 20
+MOST = 255  # occurrences of a term that count, in training and in scoring
 KEPT = 2048  # buckets of the machine, at most
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 FACTORS = 4
@@ -142,7 +143,7 @@ def fit(sample: DataFrame, factors: int = FACTORS, kept: int = KEPT, epochs: int
     y = rows.toxic.to_numpy()[order].astype(np.float64)
     x = np.zeros((len(y), len(buckets)), dtype=np.uint8)
     for i, terms in enumerate(rows.terms.to_numpy()[order]):
-        np.add.at(x[i], terms[: 255 * len(buckets)], 1)
+        x[i] = np.minimum(np.bincount(terms, minlength=len(buckets)), MOST)
     return _descend(slot, x, y, bias, factors, epochs, seed)
 
 
@@ -184,7 +185,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             docs_of, found = _distinct(docs_of[kept], words[kept], buckets[kept])
             counts = np.zeros((batch.num_rows, len(fm.weights)))
             np.add.at(counts, (docs_of, fm.slot[found]), 1)
-            value = fm.scores(np.minimum(counts, 255))
+            value = fm.scores(np.minimum(counts, MOST))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(value), pa.array((value >= REJECT).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
@@ -221,6 +222,6 @@ def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
             docs_of, found = _distinct(docs_of[kept], words[kept], buckets[kept])
             counts = np.zeros((batch.num_rows, len(fm.weights)))
             np.add.at(counts, (docs_of, fm.slot[found]), 1)
-            yield batch.filter(pa.array(fm.scores(np.minimum(counts, 255)) < REJECT))
+            yield batch.filter(pa.array(fm.scores(np.minimum(counts, MOST)) < REJECT))
 
     return docs.mapInArrow(run, docs.schema)
