@@ -1,10 +1,13 @@
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from tillroll.llm import simhash
+from tillroll.llm.words import SPACES, Words, mixed
 
 
 def fingerprint(text):
@@ -113,3 +116,74 @@ def test_rows_of_one_id_with_other_texts_stay(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_components(docs).count() == 0 and simhash.keep_one(docs).count() == 0
+
+
+def changed(dice, words, number):
+    out = list(words)
+    for at in dice.sample(range(10, len(words) - 10, 12), number):
+        out[at] = "new" + str(dice.random())
+    return out
+
+
+def test_texts_with_two_of_a_hundred_words_changed_merge(spark):
+    dice = random.Random(8)
+    rows = []
+    for i in range(100):
+        text = [f"w{dice.randrange(5000)}" for _ in range(100)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(changed(dice, text, 2)))]
+    shared = " ".join(f"s{i}" for i in range(50))  # a common passage alone makes no near copy
+    rows += [(1000 + i, shared + " " + " ".join(f"u{dice.randrange(10**6)}" for _ in range(50))) for i in range(60)]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i in range(0, 200, 2)} <= kept and {1000 + i for i in range(60)} <= kept
+    assert sum(i not in kept for i in range(1, 200, 2)) >= 90
+
+
+def wide(texts):
+    """Prints in plain loops over bits."""
+    out = []
+    for text in texts:
+        hashes, first = simhash._shingles(Words(pa.array([text]), SPACES))
+        row = []
+        for seed in mixed(np.arange(1, simhash.PRINTS + 1, dtype=np.uint64)):
+            mine = [int(h) for h in mixed(hashes ^ seed)]
+            row.append(sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in mine) > len(mine)))
+        out.append(np.array(row, dtype="<u8").tobytes())
+    return out
+
+
+def test_wide_prints_equal_plain_majorities(spark):
+    texts = [None, "", "one", "A two", "a b c d", "a b c d e", "x " * 700, " ".join(str(i * i) for i in range(2000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: bytes(r.wide) for r in simhash.wide_prints(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == wide(texts)
+    assert found[0] == found[1] == bytes(48) and found[4] != found[5]
+
+
+@pytest.mark.parametrize(("leaf", "block"), [(50, 32_768), (100_000, 60), (100_000, 32_768)])
+def test_wide_links_connect_what_brute_force_connects(spark, monkeypatch, leaf, block):
+    monkeypatch.setattr(simhash, "WIDE_BLOCK", block)
+    dice = random.Random(leaf + block)
+    values = [dice.getrandbits(384) for _ in range(150)]
+    for v in values[:60]:
+        for bits in (3, 20, 62, 66, 120):
+            values.append(v ^ sum(1 << b for b in dice.sample(range(384), bits)))
+    base = values[0]
+    values += [base ^ sum(1 << b for b in dice.sample(range(384), 12)) for _ in range(120)]
+    values = sorted(set(values))
+    prints = np.array([np.frombuffer(v.to_bytes(48, "little"), "<u8") for v in values])
+    masks = [(p, 21 * b) for p in range(6) for b in range(3)]
+    root = list(range(len(values)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(values)), 2):
+        x = prints[i] ^ prints[j]
+        if np.bitwise_count(x).sum() <= simhash.APART and any(((int(x[p]) >> s) & 0x1FFFFF).bit_count() <= 1 for p, s in masks):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    points = spark.createDataFrame([(i, bytearray(v.to_bytes(48, "little"))) for i, v in enumerate(values)], "node long, wide binary")
+    found = {r.node: r.root for r in simhash.components(simhash.linked_prints(points, leaf)).collect()}
+    assert [found.get(i, i) for i in range(len(values))] == [find(i) for i in range(len(values))]

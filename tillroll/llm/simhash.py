@@ -7,6 +7,10 @@ vantage point; a fingerprint goes inside or outside of the level's radius (the m
 pair that a level separates has its outer member within ``r // 2`` bits of the boundary, so the outer points of that band
 are also sent inside, and no pair is lost. Leaves are shards: a task compares the fingerprints of a shard in full and returns
 a spanning forest of the links, never all pairs. Shards that stay large, as of near copies, are dealt out in blocks.
+
+``keep_one`` looks for texts whose shingles of five words have a similarity of 0.8, which differ in about every seventh bit: far beyond a
+radius that a tree can prune with. It takes six fingerprints of other seeds and cuts each into three bands of 21 bits. Two such
+texts are within one bit in some of the 18 bands, which has a tree each; a pair that meets in a shard is linked if it is near in all 384 bits.
 """
 
 from __future__ import annotations
@@ -18,16 +22,24 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tillroll.llm.groups import Batches, by_group, components, local_roots, meeting_blocks
-from tillroll.llm.words import mixed, pieces
+from tillroll.llm.words import SPACES, Words, gram_hashes, mixed, pieces
 from tillroll.runtime import cut
 
 RADIUS = 3
 LEAF = 256
 BLOCK = 4096
 
+PRINTS = 6  # fingerprints of a wide print
+SHINGLE = 5  # words
+BAND = 21  # bits; three bands a fingerprint
+APART = 68  # bits of 384. A similarity of 0.8 is an angle of acos(0.889): 58 bits in the mean, and one and a half deviations
+WIDE_LEAF = 16_384
+WIDE_BLOCK = 32_768
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
 
 def fingerprint(shingles: list[int]) -> int:
     """Bits set in over half of the 64-bit hashes, as a signed integer."""
@@ -151,6 +163,159 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     return marked.join(named.drop("root"), "fp").select(key, "fp", "component_id")
 
 
+# -- wide prints ----------------------------------------------------------------------------------------------------
+
+
+def _majorities(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Bits set in over half of the hashes ``first[i]`` to ``first[i + 1]``, as unsigned integers; none set without hashes."""
+    counts = np.zeros((len(first) - 1, 64), dtype=np.int64)
+    filled = np.flatnonzero(np.diff(first))
+    # Eight counters of a byte each are added at once, for 255 hashes at most.
+    edges = np.unique(np.concatenate((first[filled], np.arange(0, len(hashes), 255))))
+    group = np.searchsorted(first[filled], edges, side="right") - 1
+    for at in range(0, len(edges), 256):
+        inside = edges[at : at + 257]
+        end = inside[256] if len(inside) > 256 else len(hashes)
+        lanes = _SPREAD[hashes[inside[0] : end].view(np.uint8).reshape(-1, 8)]
+        sums = np.add.reduceat(lanes, inside[:256] - inside[0], axis=0).view(np.uint8).reshape(-1, 64)
+        np.add.at(counts, filled[group[at : at + 256]], sums)
+    return np.packbits(counts * 2 > np.diff(first)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def _shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts of a piece, and where each text's begin. Fewer words than a shingle has are one."""
+    hashes, sizes = words.hashes(), np.diff(words.first)
+    number = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, np.minimum(sizes, 1))
+    first = np.concatenate(([0], np.cumsum(number)))
+    out = np.zeros(first[-1], dtype=np.uint64)
+    grams = gram_hashes(hashes, SHINGLE)
+    of = np.repeat(np.arange(len(sizes)), number)
+    start = words.first[of] + np.arange(len(of)) - first[of]
+    whole = sizes[of] >= SHINGLE
+    out[whole] = grams[start[whole]]
+    for i in np.flatnonzero(~whole):
+        mine = hashes[start[i] : start[i] + sizes[of[i]]]
+        out[i] = mixed(gram_hashes(mine, len(mine)) + np.uint64(len(mine)))[0]
+    return out, first
+
+
+def wide_prints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, wide) of every row: PRINTS fingerprints of the shingles of five words, in 48 bytes. Null and empty texts are all zeros."""
+    seeds = mixed(np.arange(1, PRINTS + 1, dtype=np.uint64))
+
+    def run(batches: Batches) -> Batches:
+        for batch in pieces(batches):
+            hashes, first = _shingles(Words(batch.column("text"), SPACES))
+            prints = np.stack([_majorities(mixed(hashes ^ seed), first) for seed in seeds], axis=1)
+            wide = pa.array([row.tobytes() for row in prints], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), wide], ["key", "wide"])
+
+    source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    schema = StructType([source.schema["key"], StructField("wide", BinaryType())])
+    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
+def _numbers(wide: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(wide.to_pylist()), dtype="<u8").reshape(-1, PRINTS)
+
+
+def _band(prints: np.ndarray, band: int) -> np.ndarray:
+    return ((prints[:, band // 3] >> np.uint64(BAND * (band % 3))) & np.uint64((1 << BAND) - 1)).astype(np.int64)
+
+
+def _wide_shards(vantage: np.ndarray):
+    """Rows (band, leaf, node, wide) for a batch of wide prints; ``vantage`` has a point for each level of each band's tree."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            prints = _numbers(batch.column("wide"))
+            for band in range(3 * PRINTS):
+                value = _band(prints, band)
+                at, leaf = np.arange(len(value)), np.ones(len(value), dtype=np.int64)
+                for v in vantage[band]:
+                    # Half the distances of random bits are up to BAND // 2.
+                    d = np.bitwise_count(value[at] ^ v).astype(np.int64) - BAND // 2
+                    edge = d == 1
+                    at = np.concatenate((at, at[edge]))
+                    leaf = np.concatenate((leaf * 2 + (d > 0), leaf[edge] * 2))
+                rows = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), band, np.int32)), pa.array(leaf), rows.column("node"), rows.column("wide")],
+                    ["band", "leaf", "node", "wide"],
+                )
+
+    return run
+
+
+def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give the members ``a`` and ``b`` the smaller of their labels, which are the least member of a group each."""
+    while len(a):
+        high, low = np.maximum(labels[a], labels[b]), np.minimum(labels[a], labels[b])
+        open_ = high != low
+        a, b = a[open_], b[open_]
+        np.minimum.at(labels, high[open_], low[open_])
+        while not np.array_equal(jump := labels[labels], labels):
+            labels[:] = jump
+
+
+def _wide_links(table: pa.Table, apart: int = APART, most: int = 1 << 18) -> pa.Table:
+    """A spanning forest of the links of a shard: pairs within a bit in the band and ``apart`` bits in all."""
+    band = int(table.column("band")[0].as_py())
+    prints = _numbers(table.column("wide"))
+    value = _band(prints, band)
+    order = np.argsort(value, kind="stable")
+    prints, value, node = prints[order], value[order], np.asarray(table.column("node"))[order]
+    labels = np.arange(len(value))
+
+    def meet(a: np.ndarray, b: np.ndarray) -> None:
+        new = labels[a] != labels[b]
+        a, b = a[new], b[new]
+        near = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1) <= apart
+        _unite(labels, a[near], b[near])
+
+    beside = np.flatnonzero(value[1:] == value[:-1])
+    meet(beside, beside + 1)
+    values, first = np.unique(value, return_index=True)
+    size = np.diff(np.append(first, len(value)))
+    for flip in (0, *(1 << b for b in range(BAND))):
+        at = np.minimum(np.searchsorted(values, values ^ flip), len(values) - 1)
+        run = np.flatnonzero((values[at] == values ^ flip) & (values[at] >= values))
+        other = at[run]
+        # Runs of one value that are one group already, as of near copies, need no look at their pairs.
+        low, high = np.minimum.reduceat(labels, first), np.maximum.reduceat(labels, first)
+        todo = (low[run] != high[run]) | (low[other] != high[other]) | (low[run] != low[other])
+        run, other = run[todo], other[todo]
+        a = np.repeat(first[run], size[run]) + _steps(size[run])
+        other = np.repeat(other, size[run])
+        ends = np.cumsum(size[other])
+        cuts = np.flatnonzero(np.diff(ends // most, prepend=0))
+        for start, end in zip([0, *cuts], [*cuts, len(a)], strict=True):
+            theirs = other[start:end]
+            meet(np.repeat(a[start:end], size[theirs]), np.repeat(first[theirs], size[theirs]) + _steps(size[theirs]))
+    tied = labels != np.arange(len(labels))
+    return pa.table({"a": node[tied], "b": node[labels[tied]]})
+
+
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0 to size - 1 for every size."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def linked_prints(points: DataFrame, leaf: int = WIDE_LEAF) -> DataFrame:
+    """Links (a, b) between nodes of ``points`` (node, wide), one node for a print, that connect what near pairs connect."""
+    count = points.count()
+    levels = math.ceil(math.log(count / leaf) / math.log(1 / 0.58)) if count > leaf else 0
+    vantage = (mixed(np.arange(1, 3 * PRINTS * levels + 1, dtype=np.uint64)) & np.uint64((1 << BAND) - 1)).astype(np.int64)
+    vantage = vantage.reshape(3 * PRINTS, levels)
+    # Not written: shards are several times their points, which are, and a second look at these costs less.
+    shards = points.mapInArrow(_wide_shards(vantage), "band int, leaf long, node long, wide binary")
+    keys = ["band", "leaf"]
+    blocks = meeting_blocks(shards, keys, "node", WIDE_BLOCK).select(*keys, "block_a", "block_b", "node", "wide")
+    keys += ["block_a", "block_b"]
+    dealt = blocks.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(by_group(keys, _wide_links), "a long, b long")
+
+
 def _row(docs: DataFrame) -> F.Column:
     """Tells rows apart by id and text: an id may come with several texts."""
     return F.xxhash64(docs["doc_id"], docs["text"])
@@ -159,15 +324,18 @@ def _row(docs: DataFrame) -> F.Column:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component of the rows with an id: that of the smallest id, and of several texts of this id one.
 
-    Rows of one id with texts that do not link are in components of their own and all stay. Of rows that repeat an id and a text one stays, the
+    Texts link if their wide prints are near, which texts with a similarity of 0.8 in shingles of five words mostly are; repeated shingles
+    count. Rows of one id with texts that do not link are in components of their own and all stay. Of rows that repeat an id and a text one stays, the
     smallest in its other columns as JSON, which may have any type. A null text is empty and links with empty ones. Rows without an id cannot
     be named in a group: they stay. Columns stay as they are. An empty table gives no rows.
     """
     known = docs.where("doc_id IS NOT NULL")
-    marked = cut(fingerprints(known.select(_row(known).alias("of"), "text"), key="of").distinct())
-    named = _components(marked, "of", RADIUS).select("fp", "root")
+    marked = cut(wide_prints(known.select(_row(known).alias("of"), "text"), key="of").distinct())
+    classes = cut(marked.groupBy("wide").agg(F.min("of").alias("node")))
+    roots = components(linked_prints(classes))
+    rooted = classes.join(roots, "node", "left").select("wide", F.coalesce("root", "node").alias("root"))
     ids = known.select(_row(known).alias("of"), F.col("doc_id").alias("id"))
-    heads = ids.join(marked, "of").join(named, "fp").groupBy("root").agg(F.min(F.struct("id", "of")).alias("head"))
+    heads = ids.join(marked, "of").join(cut(rooted), "wide").groupBy("root").agg(F.min(F.struct("id", "of")).alias("head"))
     heads = cut(heads.select(F.col("head.id").alias("head_id"), F.col("head.of").alias("head_of")))
     kept = known.join(heads, (known["doc_id"] == heads["head_id"]) & (_row(known) == heads["head_of"]), "left_semi")
     whole = F.struct(*docs.columns)
