@@ -187,3 +187,10 @@ def test_wide_links_connect_what_brute_force_connects(spark, monkeypatch, leaf,
     points = spark.createDataFrame([(i, bytearray(v.to_bytes(48, "little"))) for i, v in enumerate(values)], "node long, wide binary")
     found = {r.node: r.root for r in simhash.components(simhash.linked_prints(points, leaf)).collect()}
     assert [found.get(i, i) for i in range(len(values))] == [find(i) for i in range(len(values))]
+
+
+def test_a_repeated_line_alone_makes_no_near_copy(spark):
+    line = "the same line again and again " * 80
+    rows = [(i, line + " ".join(f"u{i}x{j}" for j in range(30))) for i in range(6)] + [(9, line), (10, line.upper())]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2, 3, 4, 5, 9]

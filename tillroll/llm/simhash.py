@@ -10,7 +10,8 @@ a spanning forest of the links, never all pairs. Shards that stay large, as of n
 
 ``keep_one`` looks for texts whose shingles of five words have a similarity of 0.8, which differ in about every seventh bit: far beyond a
 radius that a tree can prune with. It takes six fingerprints of other seeds and cuts each into three bands of 21 bits. Two such
-texts are within one bit in some of the 18 bands, which has a tree each; a pair that meets in a shard is linked if it is near in all 384 bits.
+texts are within one bit in some of the 18 bands, which has a tree each; a pair that meets in a shard and is near in
+all 384 bits is linked if its shingles are that similar.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ BLOCK = 4096
 PRINTS = 6  # fingerprints of a wide print
 SHINGLE = 5  # words
 BAND = 21  # bits; three bands a fingerprint
+SIMILAR = 0.8
 APART = 68  # bits of 384. A similarity of 0.8 is an angle of acos(0.889): 58 bits in the mean, and one and a half deviations
 WIDE_LEAF = 16_384
 WIDE_BLOCK = 32_768
@@ -259,19 +261,27 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def _wide_links(table: pa.Table, apart: int = APART, most: int = 1 << 18) -> pa.Table:
-    """A spanning forest of the links of a shard: pairs within a bit in the band and ``apart`` bits in all."""
+    """Links that connect a shard's near pairs (within a bit in the band and ``apart`` bits in all), the nearest pairs of groups."""
     band = int(table.column("band")[0].as_py())
     prints = _numbers(table.column("wide"))
     value = _band(prints, band)
     order = np.argsort(value, kind="stable")
     prints, value, node = prints[order], value[order], np.asarray(table.column("node"))[order]
     labels = np.arange(len(value))
+    kept: list[np.ndarray] = []
 
     def meet(a: np.ndarray, b: np.ndarray) -> None:
         new = labels[a] != labels[b]
         a, b = a[new], b[new]
-        near = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1) <= apart
-        _unite(labels, a[near], b[near])
+        far = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
+        near = np.flatnonzero(far <= apart)
+        near = near[np.argsort(far[near], kind="stable")]
+        a, b = a[near], b[near]
+        # The nearest pair of any two groups that meet here.
+        groups = np.minimum(labels[a], labels[b]) * len(labels) + np.maximum(labels[a], labels[b])
+        nearest = np.unique(groups, return_index=True)[1]
+        kept.append(np.stack((a[nearest], b[nearest])))
+        _unite(labels, a, b)
 
     beside = np.flatnonzero(value[1:] == value[:-1])
     meet(beside, beside + 1)
@@ -292,8 +302,8 @@ def _wide_links(table: pa.Table, apart: int = APART, most: int = 1 << 18) -> pa.
         for start, end in zip([0, *cuts], [*cuts, len(a)], strict=True):
             theirs = other[start:end]
             meet(np.repeat(a[start:end], size[theirs]), np.repeat(first[theirs], size[theirs]) + _steps(size[theirs]))
-    tied = labels != np.arange(len(labels))
-    return pa.table({"a": node[tied], "b": node[labels[tied]]})
+    pairs = np.concatenate(kept, axis=1)
+    return pa.table({"a": node[pairs[0]], "b": node[pairs[1]]})
 
 
 def _steps(sizes: np.ndarray) -> np.ndarray:
@@ -316,6 +326,24 @@ def linked_prints(points: DataFrame, leaf: int = WIDE_LEAF) -> DataFrame:
     return dealt.mapInArrow(by_group(keys, _wide_links), "a long, b long")
 
 
+def _shingle_sets(batches: Batches) -> Batches:
+    for batch in pieces(batches):
+        hashes, first = _shingles(Words(batch.column("text"), SPACES))
+        sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("of"), pa.array(sets, pa.list_(pa.int64()))], ["of", "shingles"])
+
+
+def similar(links: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """The rows of ``links`` (a, b) whose ``texts`` (of, text) share ``least`` of their distinct shingles of five words."""
+    named = links.select(F.col("a").alias("of")).unionByName(links.select(F.col("b").alias("of"))).distinct()
+    # Written, so that a node of many links can be split.
+    linked = texts.join(named, "of", "left_semi").dropDuplicates(["of"])
+    sets = cut(linked.mapInArrow(_shingle_sets, "of long, shingles array<long>"))
+    both = links.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(shared >= least * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+
+
 def _row(docs: DataFrame) -> F.Column:
     """Tells rows apart by id and text: an id may come with several texts."""
     return F.xxhash64(docs["doc_id"], docs["text"])
@@ -324,15 +352,15 @@ def _row(docs: DataFrame) -> F.Column:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component of the rows with an id: that of the smallest id, and of several texts of this id one.
 
-    Texts link if their wide prints are near, which texts with a similarity of 0.8 in shingles of five words mostly are; repeated shingles
-    count. Rows of one id with texts that do not link are in components of their own and all stay. Of rows that repeat an id and a text one stays, the
+    Texts link if their wide prints are equal, or near and the texts share 0.8 of their distinct shingles of five words. Rows of one id with texts that do not link are in components of their own and all stay. Of rows that repeat an id and a text one stays, the
     smallest in its other columns as JSON, which may have any type. A null text is empty and links with empty ones. Rows without an id cannot
     be named in a group: they stay. Columns stay as they are. An empty table gives no rows.
     """
     known = docs.where("doc_id IS NOT NULL")
     marked = cut(wide_prints(known.select(_row(known).alias("of"), "text"), key="of").distinct())
     classes = cut(marked.groupBy("wide").agg(F.min("of").alias("node")))
-    roots = components(linked_prints(classes))
+    texts = known.select(_row(known).alias("of"), F.col("text").cast("string").alias("text"))
+    roots = components(similar(cut(linked_prints(classes).distinct()), texts))
     rooted = classes.join(roots, "node", "left").select("wide", F.coalesce("root", "node").alias("root"))
     ids = known.select(_row(known).alias("of"), F.col("doc_id").alias("id"))
     heads = ids.join(marked, "of").join(cut(rooted), "wide").groupBy("root").agg(F.min(F.struct("id", "of")).alias("head"))
