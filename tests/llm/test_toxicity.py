@@ -59,25 +59,77 @@ def test_empty_documents(spark):
     assert toxicity.toxicity(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int")).count() == 0
 
 
+def sparse(x):
+    first = np.concatenate(([0], np.cumsum((x > 0).sum(1))))
+    return toxicity.Terms(first, np.nonzero(x)[1].astype(np.int32), x[x > 0].astype(np.float32))
+
+
 def test_pairs_can_outweigh_single_terms():
     """Two terms that are harmless alone: no additive weights can tell their meeting from either."""
     dice = np.random.default_rng(0)
     x = dice.integers(0, 2, (3000, 2)).astype(np.uint8)
-    y = (x[:, 0] & x[:, 1]).astype(float)
+    y = (x[:, 0] & x[:, 1]).astype(np.float32)
     x = np.concatenate((x, dice.integers(0, 2, (3000, 3)).astype(np.uint8)), axis=1)
-    machine = toxicity._descend(np.zeros(1), x, y, -1.0, 4, 40, 1)
-    assert ((machine.scores(x.astype(float)) > 0.5) == y).mean() > 0.99
+    start = dice.normal(0, 0.05, (5, 4)).astype(np.float32)
+    machine = toxicity.Machine(np.zeros(1), -1.0, np.zeros(5, np.float32), start)
+    toxicity._descend(machine, sparse(x), y, np.arange(3000), 600, 256, 0.02, (0.0, 0.0), dice)
+    assert ((machine.scores(sparse(x)) > 0.5) == y).mean() > 0.99
+
+
+def paired(n, seed):
+    """An insult hurts only beside a group mention and another only without it: the mention is neutral alone."""
+    dice = random.Random(seed)
+    plain = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "tu") for b in ("bar", "den", "fel", "gor", "hin", "jas")]
+    for i in range(n):
+        words = [dice.choice(plain) for _ in range(20)]
+        one, other, group = dice.random() < 0.25, dice.random() < 0.25, dice.random() < 0.5
+        for word in ["zork"] * one + ["blug"] * other + ["quari"] * group:
+            words.insert(dice.randrange(len(words)), word)
+        yield i, " ".join(words), int((one and group) or (other and not group)), group
+
+
+def test_a_group_word_that_is_neutral_alone_tells_beside_an_insult(spark):
+    train, unseen = list(paired(2000, 3)), list(paired(500, 9))
+    share = [np.mean([y for *_, y, g in train if g == group]) for group in (True, False)]
+    assert abs(share[0] - share[1]) < 0.05
+    machine = toxicity.fit(spark.createDataFrame([(t, y) for _, t, y, _ in train], "text string, toxic int"))
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in unseen], "doc_id long, text string")
+    found = {r.doc_id: r.score > 0.5 for r in toxicity.score(docs, machine).collect()}
+    assert np.mean([found[i] == bool(y) for i, _, y, _ in unseen]) > 0.97
+
+
+def test_sparse_rows_equal_plain_counts(spark):
+    """Distinct words by bucket, a word and its beginnings, against sets."""
+    texts = ["abcdefghij abcde abcdx ab", "", None, "ab AB ab cd", "x " * 400 + " ".join(f"sameroot{i}" for i in range(400))]
+    for i, text in enumerate(texts):
+        docs, words, buckets = toxicity.term_buckets(Words(pa.array(texts), SYMBOLS))
+        _, b, n = toxicity._counted(docs[docs == i], words[docs == i], buckets[docs == i])
+        plain = {}
+        for word in set((text or "").lower().split()):
+            for term in {(word, True)} | {(word[:k], False, k) for k in toxicity.BEGINNINGS if len(word) > k}:
+                plain[term] = plain.get(term, 0) + 1
+        assert sorted(n) == sorted(min(v, 255) for v in plain.values()) and len(b) == len(set(b))
 
 
 def test_machine_equals_the_sum_over_pairs():
     dice = np.random.default_rng(1)
     w, v, c = dice.normal(size=6), dice.normal(size=(6, 3)), dice.integers(0, 3, (5, 6)).astype(float)
     machine = toxicity.Machine(np.zeros(1), 0.3, w, v)
-    for row, got in zip(c, machine.scores(c), strict=True):
+    for row, got in zip(c, machine.scores(sparse(c)), strict=True):
         z = 0.3 + row @ w + sum(v[i] @ v[j] * row[i] * row[j] for i in range(6) for j in range(i))
         assert got == pytest.approx(1 / (1 + np.exp(-z)))
 
 
+def test_terms_keep_their_documents_when_slots_leave():
+    x = np.random.default_rng(2).integers(0, 3, (30, 8)).astype(float)
+    keep = np.array([1, 0, 1, 1, 0, 0, 1, 1], dtype=bool)
+    left, plain = sparse(x).only(keep), sparse(x[:, keep])
+    at = np.array([4, 0, 29, 4])
+    for got, want in ((left, plain), (left.of(at), sparse(x[at][:, keep]))):
+        assert all((a == b).all() for a, b in ((got.first, want.first), (got.slot, want.slot), (got.value, want.value)))
+    assert (left.sums(left.value) == x[:, keep].sum(1)).all()
+
+
 @pytest.mark.parametrize("separators", [SPACES, SYMBOLS])
 def test_words_are_those_of_a_plain_split(separators):
     texts = ["Ab  cD\té-f", None, "", " ", "x", "a\n\nB", "ß ÀÉ a", "a b", "\x00 q"]

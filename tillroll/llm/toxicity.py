@@ -2,9 +2,10 @@
 
 The terms of a document are its distinct words and the beginnings of those words, each hashed to a bucket; beginnings let a word
 count that is written in many forms. The machine scores a bias, a weight per bucket and, through a short vector per bucket, every
-pair of terms, so that an insult can weigh more beside the mention of a group than either does alone. It is trained in two steps.
-Over a bounded sample of labelled documents the executors count the documents of either label per bucket and the buckets
-whose counts differ far beyond chance are kept; then the machine is fitted to the kept terms of the sample.
+pair of terms, so that an insult can weigh more beside the mention of a group than either does alone. It is trained on a bounded
+sample of labelled documents, over every bucket that two of them have: the executors cut and hash the texts, the
+driver descends over the sparse rows. An absolute penalty first takes weights and vectors that do not help to zero, alone or
+in pairs, without a look at how a term is distributed by itself; what is left is then fitted without it.
 """
 
 from __future__ import annotations
@@ -19,18 +20,47 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tillroll.llm.groups import Batches
 from tillroll.llm.words import SYMBOLS, Words, mixed, pieces
-from tillroll.runtime import cut
 
 FIT_ROWS = 16_000  # labelled documents in the sample, at most about
 BUCKETS = 1 << 20
 MOST = 255  # occurrences of a term that count, in training and in scoring
-KEPT = 2048  # buckets of the machine, at most
+VALUES = 1 + np.log(np.maximum(1, np.arange(MOST + 1))).astype(np.float32)  # of a term that occurs so often
+LEAST_DOCUMENTS = 2  # of the sample that have a bucket of the machine
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 FACTORS = 4
-LEAST_STEPS = 600  # of the descent, however few the documents
+PENALTIES = (0.1, 0.15)  # on weights and factors while terms are chosen, over the root of the documents in a step
 REJECT = 0.3
 
 
+@dataclass
+class Terms:
+    """Slots and values of the terms of some documents; document ``i`` has those from ``first[i]`` to ``first[i + 1]``."""
+
+    first: np.ndarray
+    slot: np.ndarray
+    value: np.ndarray
+
+    def of(self, docs: np.ndarray) -> Terms:
+        sizes = self.first[docs + 1] - self.first[docs]
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat(self.first[docs] - first[:-1], sizes) + np.arange(first[-1])
+        return Terms(first, self.slot[at], self.value[at])
+
+    def only(self, keep: np.ndarray) -> Terms:
+        """Without the terms of other slots; the slots that are kept are numbered anew."""
+        mine = keep[self.slot]
+        first = np.concatenate(([0], np.cumsum(mine)))[self.first]
+        return Terms(first, (np.cumsum(keep) - 1)[self.slot[mine]].astype(np.int32), self.value[mine])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums of one value or row of values per term, by document."""
+        out = np.zeros((len(self.first) - 1, *values.shape[1:]), dtype=values.dtype)
+        some = np.flatnonzero(np.diff(self.first))
+        if len(some):
+            out[some] = np.add.reduceat(values, self.first[some], axis=0)
+        return out
+
+
 @dataclass
 class Machine:
     """``slot`` gives a bucket's row in the weights, or -1."""
@@ -40,10 +70,25 @@ class Machine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def scores(self, counts: np.ndarray) -> np.ndarray:
-        sums = counts @ self.factors
-        pairs = 0.5 * ((sums**2).sum(1) - counts**2 @ (self.factors**2).sum(1))
-        return 1 / (1 + np.exp(-np.clip(self.bias + counts @ self.weights + pairs, -30, 30)))
+    def margins(self, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
+        """Scores before the logistic function, and the sums of the factors of every document."""
+        parts = self.factors[terms.slot] * terms.value[:, None]
+        sums = terms.sums(parts)
+        pairs = 0.5 * ((sums**2).sum(1) - terms.sums((parts**2).sum(1)))
+        return self.bias + terms.sums(self.weights[terms.slot] * terms.value) + pairs, sums
+
+    def scores(self, terms: Terms) -> np.ndarray:
+        return _logistic(self.margins(terms)[0].astype(np.float64))
+
+    def terms(self, texts: pa.Array) -> Terms:
+        docs, words, buckets = term_buckets(Words(texts, SYMBOLS))
+        kept = self.slot[buckets] >= 0
+        docs, buckets, counts = _counted(docs[kept], words[kept], buckets[kept])
+        return Terms(np.searchsorted(docs, np.arange(len(texts) + 1)), self.slot[buckets], VALUES[counts])
+
+
+def _logistic(margins: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
 
 
 def term_buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,13 +106,16 @@ def term_buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return docs[at], whole[at], bucket
 
 
-def _distinct(docs: np.ndarray, words: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket), once for every distinct word of the document."""
-    order = np.lexsort((buckets, words, docs))
+def _counted(docs: np.ndarray, words: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, bucket, distinct words of the document in it, ``MOST`` at most), by document and bucket."""
+    order = np.lexsort((words, buckets, docs))
     d, w, b = docs[order], words[order], buckets[order]
-    new = np.ones(len(d), dtype=bool)
-    new[1:] = (d[1:] != d[:-1]) | (w[1:] != w[:-1]) | (b[1:] != b[:-1])
-    return d[new], b[new]
+    first = np.ones(len(d), dtype=bool)
+    first[1:] = (d[1:] != d[:-1]) | (b[1:] != b[:-1])
+    new = first.copy()
+    new[1:] |= w[1:] != w[:-1]
+    counts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(first)) if len(d) else np.zeros(0, np.int64)
+    return d[first], b[first], np.minimum(counts, MOST)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -85,92 +133,95 @@ def training_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     return texts.join(marks.where(chosen), "doc_id").select("text", "toxic")
 
 
-def _bucket_counts(batches: Batches) -> Batches:
-    """Documents with each bucket, toxic and not, of one partition."""
-    counts = np.zeros((2, BUCKETS), dtype=np.int64)
+def _sparse_rows(batches: Batches) -> Batches:
+    """The terms of every document, packed as bucket * 256 + count."""
     for batch in pieces(batches):
-        docs, words, buckets = term_buckets(Words(batch.column("text"), SYMBOLS))
-        toxic = np.asarray(batch.column("toxic"))
-        seen = np.unique(docs * BUCKETS + buckets)
-        for label in (0, 1):
-            mine = seen[toxic[seen // BUCKETS] == label] % BUCKETS
-            counts[label] += np.bincount(mine, minlength=BUCKETS)
-    found = np.flatnonzero(counts.sum(0))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(found), pa.array(counts[0][found]), pa.array(counts[1][found])], ["bucket", "clean", "toxic"]
-    )
-
+        docs, buckets, counts = _counted(*term_buckets(Words(batch.column("text"), SYMBOLS)))
+        first = np.searchsorted(docs, np.arange(batch.num_rows + 1)).astype(np.int32)
+        terms = pa.ListArray.from_arrays(pa.array(first), pa.array((buckets * 256 + counts).astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("toxic"), terms], ["key", "toxic", "terms"])
 
-def _telling_buckets(sample: DataFrame, n_clean: int, n_toxic: int, kept: int) -> np.ndarray:
-    """The ``kept`` buckets at most whose share of toxic documents lies furthest from chance, four and a half deviations at least."""
-    counts = sample.mapInArrow(_bucket_counts, "bucket long, clean long, toxic long")
-    counts = counts.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    p = n_toxic / (n_clean + n_toxic)
-    n = F.col("clean") + F.col("toxic")
-    z = (F.col("toxic") - n * p) / F.sqrt(n * p * (1 - p) * (1 - n / (n_clean + n_toxic + 1)) + 1e-9)
-    # Small counts are far from normal: one or two chance hits must not pass.
-    far = counts.withColumn("z", F.abs(z)).where((F.abs(F.col("toxic") - n * p) > 2) & (F.col("z") > 4.5))
-    rows = far.orderBy(F.desc("z"), "bucket").limit(kept).select("bucket").collect()
-    return np.array(sorted(r[0] for r in rows), dtype=np.int64)
 
+def fit(sample: DataFrame, factors: int = FACTORS, steps: tuple[int, int] = (150, 300), seed: int = 5) -> Machine:
+    """Train on (text, toxic) rows, of which there is a bounded number, 4 MB each at most. Without both labels the score is a constant.
 
-def _kept_terms(slot: np.ndarray):
-    def run(batches: Batches) -> Batches:
-        for batch in pieces(batches):
-            docs, words, buckets = term_buckets(Words(batch.column("text"), SYMBOLS))
-            kept = slot[buckets] >= 0
-            docs, buckets = _distinct(docs[kept], words[kept], buckets[kept])
-            first = np.searchsorted(docs, np.arange(batch.num_rows + 1))
-            terms = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(slot[buckets].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), terms], ["toxic", "terms"])
-
-    return run
-
-
-def fit(sample: DataFrame, factors: int = FACTORS, kept: int = KEPT, epochs: int = 30, seed: int = 5) -> Machine:
-    """Train on (text, toxic) rows, of which there is a bounded number. Without both labels the score is a constant."""
-    sample = cut(sample)
-    size = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
-    n_clean, n_toxic = size.get(0, 0), size.get(1, 0)
+    ``steps`` are those that choose terms, with ``PENALTIES``, and those that fit the chosen ones.
+    """
+    keyed = sample.select(F.xxhash64("text").alias("key"), "toxic", "text")
+    rows = keyed.mapInArrow(_sparse_rows, "key long, toxic int, terms array<int>").toArrow()
+    y = rows["toxic"].to_numpy().astype(np.float32)
+    bias = float(np.log((y.sum() + 0.5) / ((1 - y).sum() + 0.5)))
     slot = np.full(BUCKETS, -1, dtype=np.int32)
-    bias = float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))
-    if not (n_clean and n_toxic):
+    if len(np.unique(y)) < 2:
         return Machine(slot, bias, np.zeros(0), np.zeros((0, factors)))
-    buckets = _telling_buckets(sample, n_clean, n_toxic, kept)
+    # Rows come in no certain order; batches are drawn from this one.
+    order = np.lexsort((y, rows["key"].to_numpy()))
+    terms = _of_column(rows["terms"])
+    del rows
+    known = np.bincount(terms.slot, minlength=BUCKETS) >= LEAST_DOCUMENTS
+    terms = terms.only(known)
+    rng = np.random.default_rng(seed)
+    machine = Machine(
+        slot, bias, np.zeros(known.sum(), np.float32), rng.normal(0, 0.05, (known.sum(), factors)).astype(np.float32)
+    )
+    buckets, terms = _descend(machine, terms, y, order, steps[0], 1024, 0.02, PENALTIES, rng)
+    buckets = np.flatnonzero(known)[buckets]
+    _descend(machine, terms, y, order, steps[1], 256, 0.01, (0.0, 0.0), rng)
     slot[buckets] = np.arange(len(buckets))
-    rows = sample.mapInArrow(_kept_terms(slot), "toxic int, terms array<int>").toPandas()
-    order = np.argsort([hash((t, *x)) for t, x in zip(rows.toxic, map(tuple, rows.terms), strict=True)], kind="stable")
-    y = rows.toxic.to_numpy()[order].astype(np.float64)
-    x = np.zeros((len(y), len(buckets)), dtype=np.uint8)
-    for i, terms in enumerate(rows.terms.to_numpy()[order]):
-        x[i] = np.minimum(np.bincount(terms, minlength=len(buckets)), MOST)
-    return _descend(slot, x, y, bias, factors, epochs, seed)
+    return machine
 
 
-def _descend(slot: np.ndarray, x: np.ndarray, y: np.ndarray, bias: float, k: int, epochs: int, seed: int) -> Machine:
-    """Adam on the logistic loss in small batches, with a penalty on weights and factors."""
-    rng = np.random.default_rng(seed)
-    n = x.shape[1]
-    w = {"b": np.array([bias]), "w": np.zeros(n), "v": rng.normal(0, 0.05, (n, k))}
-    mean, square = ({name: np.zeros_like(value) for name, value in w.items()} for _ in range(2))
-    step, batches = 0, max(1, len(y) // 256)
-    for _ in range(max(epochs, -(-LEAST_STEPS // batches))):
-        for at in np.array_split(rng.permutation(len(y)), batches):
-            c = x[at].astype(np.float64)
-            step += 1
-            machine = Machine(slot, w["b"][0], w["w"], w["v"])
-            error = (machine.scores(c) - y[at]) / len(at)
-            sums = c @ w["v"]
-            grad = {
-                "b": np.array([error.sum()]),
-                "w": c.T @ error + 1e-4 * w["w"],
-                "v": c.T @ (sums * error[:, None]) - (error @ c**2)[:, None] * w["v"] + 1e-4 * w["v"],
-            }
-            for name, g in grad.items():
-                mean[name] = 0.9 * mean[name] + 0.1 * g
-                square[name] = 0.999 * square[name] + 0.001 * g * g
-                w[name] = w[name] - 0.02 * mean[name] / (1 - 0.9**step) / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
-    return Machine(slot, float(w["b"][0]), w["w"], w["v"])
+def _of_column(column: pa.ChunkedArray) -> Terms:
+    lists = [chunk for chunk in column.chunks if len(chunk)]
+    packed = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists])
+    sizes = np.concatenate([np.diff(c.offsets.to_numpy()) for c in lists])
+    first = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    return Terms(first, packed >> 8, VALUES[packed & 255])
+
+
+def _descend(
+    machine: Machine, terms: Terms, y: np.ndarray, order: np.ndarray, steps: int, size: int, rate: float,
+    penalties: tuple[float, float], rng: np.random.Generator,
+) -> tuple[np.ndarray, Terms]:
+    """Adam on the logistic loss in batches of about ``size`` documents, changing ``machine``.
+
+    With absolute penalties slots whose weight and factors are all zero leave, every 25 steps from the fiftieth and at the end.
+    Returns the slots that are left and the terms in their numbers.
+    """
+    live = np.arange(len(machine.weights))
+    values = [np.array([machine.bias], np.float32), machine.weights, machine.factors]
+    mean, square = ([np.zeros_like(v) for v in values] for _ in range(2))
+    batches = max(1, len(y) // size)
+    shrink = [0.0, *(p / np.sqrt(min(len(y), size)) for p in penalties)]
+    queue: list[np.ndarray] = []
+    for step in range(1, steps + 1):
+        queue = queue or np.array_split(order[rng.permutation(len(order))], batches)
+        at = queue.pop()
+        some = terms.of(at)
+        margins, sums = Machine(machine.slot, values[0][0], *values[1:]).margins(some)
+        error = ((_logistic(margins) - y[at]) / len(at)).astype(np.float32)
+        pull = np.repeat(error, np.diff(some.first)) * some.value
+        others = np.repeat(sums, np.diff(some.first), axis=0) - some.value[:, None] * values[2][some.slot]
+        n = len(live)
+        gradients = [
+            np.array([error.sum()]),
+            np.bincount(some.slot, pull, n) + 1e-4 * values[1],
+            np.stack([np.bincount(some.slot, pull * o, n) for o in others.T], axis=1) + 1e-4 * values[2],
+        ]
+        for i, gradient in enumerate(gradients):
+            g = gradient.astype(np.float32)
+            mean[i] = 0.9 * mean[i] + 0.1 * g
+            square[i] = 0.999 * square[i] + 0.001 * g * g
+            speed = rate / (np.sqrt(square[i] / (1 - 0.999**step)) + 1e-5)
+            moved = values[i] - speed * mean[i] / (1 - 0.9**step)
+            values[i] = np.sign(moved) * np.maximum(0, np.abs(moved) - shrink[i] * speed)
+        if any(penalties) and (step == steps or (step >= 50 and step % 25 == 0)):
+            keep = (values[1] != 0) | (values[2] != 0).any(1)
+            terms, live = terms.only(keep), live[keep]
+            for arrays in (values, mean, square):
+                arrays[1], arrays[2] = arrays[1][keep], arrays[2][keep]
+    machine.bias, machine.weights, machine.factors = float(values[0][0]), values[1], values[2]
+    return live, terms
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -180,12 +231,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def run(batches: Batches) -> Batches:
         fm = shared.value
         for batch in pieces(batches):
-            docs_of, words, buckets = term_buckets(Words(batch.column("text"), SYMBOLS))
-            kept = fm.slot[buckets] >= 0
-            docs_of, found = _distinct(docs_of[kept], words[kept], buckets[kept])
-            counts = np.zeros((batch.num_rows, len(fm.weights)))
-            np.add.at(counts, (docs_of, fm.slot[found]), 1)
-            value = fm.scores(np.minimum(counts, MOST))
+            value = fm.scores(fm.terms(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(value), pa.array((value >= REJECT).astype(np.int32))],
                 ["doc_id", "score", "predicted"],
@@ -217,11 +263,6 @@ def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
     def run(batches: Batches) -> Batches:
         fm = shared.value
         for batch in pieces(batches):
-            docs_of, words, buckets = term_buckets(Words(batch.column("text"), SYMBOLS))
-            kept = fm.slot[buckets] >= 0
-            docs_of, found = _distinct(docs_of[kept], words[kept], buckets[kept])
-            counts = np.zeros((batch.num_rows, len(fm.weights)))
-            np.add.at(counts, (docs_of, fm.slot[found]), 1)
-            yield batch.filter(pa.array(fm.scores(np.minimum(counts, MOST)) < REJECT))
+            yield batch.filter(pa.array(fm.scores(fm.terms(batch.column("text"))) < REJECT))
 
     return docs.mapInArrow(run, docs.schema)
