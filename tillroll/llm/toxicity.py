@@ -34,30 +34,36 @@ REJECT = 0.3
 
 @dataclass
 class Terms:
-    """Slots and values of the terms of some documents; document ``i`` has those from ``first[i]`` to ``first[i + 1]``."""
+    """Slots and counts of the terms of some documents; document ``i`` has those from ``first[i]`` to ``first[i + 1]``."""
 
     first: np.ndarray
     slot: np.ndarray
-    value: np.ndarray
+    count: np.ndarray
+
+    @property
+    def value(self) -> np.ndarray:
+        return VALUES[self.count]
 
     def of(self, docs: np.ndarray) -> Terms:
         sizes = self.first[docs + 1] - self.first[docs]
         first = np.concatenate(([0], np.cumsum(sizes)))
         at = np.repeat(self.first[docs] - first[:-1], sizes) + np.arange(first[-1])
-        return Terms(first, self.slot[at], self.value[at])
+        return Terms(first, self.slot[at], self.count[at])
 
-    def only(self, keep: np.ndarray) -> Terms:
-        """Without the terms of other slots; the slots that are kept are numbered anew."""
+    def restrict(self, keep: np.ndarray) -> None:
+        """Drop the terms of other slots, in place as they may be many; the slots that are kept are numbered anew."""
         mine = keep[self.slot]
-        first = np.concatenate(([0], np.cumsum(mine)))[self.first]
-        return Terms(first, (np.cumsum(keep) - 1)[self.slot[mine]].astype(np.int32), self.value[mine])
-
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Sums of one value or row of values per term, by document."""
-        out = np.zeros((len(self.first) - 1, *values.shape[1:]), dtype=values.dtype)
+        self.first = np.concatenate(([0], np.cumsum(self.sums(mine, np.int64))))
+        self.count = self.count[mine]
+        self.slot = self.slot[mine]
+        np.take((np.cumsum(keep) - 1).astype(np.int32), self.slot, out=self.slot, mode="clip")
+
+    def sums(self, values: np.ndarray, dtype: type | None = None) -> np.ndarray:
+        """Sums of one value per term, by document."""
+        out = np.zeros(len(self.first) - 1, dtype=dtype or values.dtype)
         some = np.flatnonzero(np.diff(self.first))
         if len(some):
-            out[some] = np.add.reduceat(values, self.first[some], axis=0)
+            out[some] = np.add.reduceat(values, self.first[some], dtype=out.dtype)
         return out
 
 
@@ -72,10 +78,14 @@ class Machine:
 
     def margins(self, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
         """Scores before the logistic function, and the sums of the factors of every document."""
-        parts = self.factors[terms.slot] * terms.value[:, None]
-        sums = terms.sums(parts)
-        pairs = 0.5 * ((sums**2).sum(1) - terms.sums((parts**2).sum(1)))
-        return self.bias + terms.sums(self.weights[terms.slot] * terms.value) + pairs, sums
+        value = terms.value
+        margins = self.bias + terms.sums(self.weights[terms.slot] * value)
+        sums = np.zeros((len(margins), self.factors.shape[1]), dtype=self.factors.dtype)
+        for f in range(sums.shape[1]):  # one factor at a time, as the terms of a step may be a million
+            part = self.factors[:, f][terms.slot] * value
+            sums[:, f] = terms.sums(part)
+            margins = margins + 0.5 * (sums[:, f] ** 2 - terms.sums(part * part))
+        return margins, sums
 
     def scores(self, terms: Terms) -> np.ndarray:
         return _logistic(self.margins(terms)[0].astype(np.float64))
@@ -84,7 +94,7 @@ class Machine:
         docs, words, buckets = term_buckets(Words(texts, SYMBOLS))
         kept = self.slot[buckets] >= 0
         docs, buckets, counts = _counted(docs[kept], words[kept], buckets[kept])
-        return Terms(np.searchsorted(docs, np.arange(len(texts) + 1)), self.slot[buckets], VALUES[counts])
+        return Terms(np.searchsorted(docs, np.arange(len(texts) + 1)), self.slot[buckets], counts)
 
 
 def _logistic(margins: np.ndarray) -> np.ndarray:
@@ -149,44 +159,51 @@ def fit(sample: DataFrame, factors: int = FACTORS, steps: tuple[int, int] = (150
     """
     keyed = sample.select(F.xxhash64("text").alias("key"), "toxic", "text")
     rows = keyed.mapInArrow(_sparse_rows, "key long, toxic int, terms array<int>").toArrow()
-    y = rows["toxic"].to_numpy().astype(np.float32)
+    y, keys = rows["toxic"].to_numpy().astype(np.float32), rows["key"].to_numpy()
     bias = float(np.log((y.sum() + 0.5) / ((1 - y).sum() + 0.5)))
     slot = np.full(BUCKETS, -1, dtype=np.int32)
     if len(np.unique(y)) < 2:
         return Machine(slot, bias, np.zeros(0), np.zeros((0, factors)))
     # Rows come in no certain order; batches are drawn from this one.
-    order = np.lexsort((y, rows["key"].to_numpy()))
+    order = np.lexsort((y, keys))
     terms = _of_column(rows["terms"])
     del rows
-    known = np.bincount(terms.slot, minlength=BUCKETS) >= LEAST_DOCUMENTS
-    terms = terms.only(known)
+    seen = np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, len(terms.slot), BUCKETS):
+        seen += np.bincount(terms.slot[at : at + BUCKETS], minlength=BUCKETS)
+    known = seen >= LEAST_DOCUMENTS
+    terms.restrict(known)
     rng = np.random.default_rng(seed)
     machine = Machine(
         slot, bias, np.zeros(known.sum(), np.float32), rng.normal(0, 0.05, (known.sum(), factors)).astype(np.float32)
     )
-    buckets, terms = _descend(machine, terms, y, order, steps[0], 1024, 0.02, PENALTIES, rng)
-    buckets = np.flatnonzero(known)[buckets]
+    chosen = _descend(machine, terms, y, order, steps[0], 1024, 0.02, PENALTIES, rng)
+    buckets = np.flatnonzero(known)[chosen]
     _descend(machine, terms, y, order, steps[1], 256, 0.01, (0.0, 0.0), rng)
     slot[buckets] = np.arange(len(buckets))
     return machine
 
 
 def _of_column(column: pa.ChunkedArray) -> Terms:
-    lists = [chunk for chunk in column.chunks if len(chunk)]
-    packed = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists])
-    sizes = np.concatenate([np.diff(c.offsets.to_numpy()) for c in lists])
-    first = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
-    return Terms(first, packed >> 8, VALUES[packed & 255])
+    """Packed rows as terms whose slots are buckets, chunk by chunk as they are large."""
+    slots, counts, sizes = [], [], []
+    for chunk in column.chunks:
+        packed = chunk.flatten().to_numpy(zero_copy_only=False)
+        slots.append(packed >> 8)
+        counts.append((packed & 255).astype(np.uint8))
+        sizes.append(np.diff(chunk.offsets.to_numpy()))
+    first = np.concatenate(([0], np.cumsum(np.concatenate(sizes), dtype=np.int64)))
+    return Terms(first, np.concatenate(slots), np.concatenate(counts))
 
 
 def _descend(
     machine: Machine, terms: Terms, y: np.ndarray, order: np.ndarray, steps: int, size: int, rate: float,
     penalties: tuple[float, float], rng: np.random.Generator,
-) -> tuple[np.ndarray, Terms]:
+) -> np.ndarray:
     """Adam on the logistic loss in batches of about ``size`` documents, changing ``machine``.
 
-    With absolute penalties slots whose weight and factors are all zero leave, every 25 steps from the fiftieth and at the end.
-    Returns the slots that are left and the terms in their numbers.
+    With absolute penalties slots whose weight and factors are all zero leave machine and ``terms``, every 25 steps from the
+    fiftieth and at the end. Returns the slots that are left.
     """
     live = np.arange(len(machine.weights))
     values = [np.array([machine.bias], np.float32), machine.weights, machine.factors]
@@ -200,16 +217,14 @@ def _descend(
         some = terms.of(at)
         margins, sums = Machine(machine.slot, values[0][0], *values[1:]).margins(some)
         error = ((_logistic(margins) - y[at]) / len(at)).astype(np.float32)
-        pull = np.repeat(error, np.diff(some.first)) * some.value
-        others = np.repeat(sums, np.diff(some.first), axis=0) - some.value[:, None] * values[2][some.slot]
-        n = len(live)
-        gradients = [
-            np.array([error.sum()]),
-            np.bincount(some.slot, pull, n) + 1e-4 * values[1],
-            np.stack([np.bincount(some.slot, pull * o, n) for o in others.T], axis=1) + 1e-4 * values[2],
-        ]
-        for i, gradient in enumerate(gradients):
-            g = gradient.astype(np.float32)
+        value = some.value
+        pull = np.repeat(error, np.diff(some.first)) * value
+        gradients = [np.array([error.sum()]), 1e-4 * values[1], 1e-4 * values[2]]
+        gradients[1] += np.bincount(some.slot, pull, len(live))
+        for f, own in enumerate(values[2].T):
+            others = np.repeat(sums[:, f], np.diff(some.first)) - value * own[some.slot]
+            gradients[2][:, f] += np.bincount(some.slot, pull * others, len(live))
+        for i, g in enumerate(gradients):
             mean[i] = 0.9 * mean[i] + 0.1 * g
             square[i] = 0.999 * square[i] + 0.001 * g * g
             speed = rate / (np.sqrt(square[i] / (1 - 0.999**step)) + 1e-5)
@@ -217,11 +232,12 @@ def _descend(
             values[i] = np.sign(moved) * np.maximum(0, np.abs(moved) - shrink[i] * speed)
         if any(penalties) and (step == steps or (step >= 50 and step % 25 == 0)):
             keep = (values[1] != 0) | (values[2] != 0).any(1)
-            terms, live = terms.only(keep), live[keep]
+            terms.restrict(keep)
+            live = live[keep]
             for arrays in (values, mean, square):
                 arrays[1], arrays[2] = arrays[1][keep], arrays[2][keep]
     machine.bias, machine.weights, machine.factors = float(values[0][0]), values[1], values[2]
-    return live, terms
+    return live
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
