@@ -180,6 +180,22 @@ def test_reports_from_one_pass_equal_reports_from_invoices(lines):
     assert plan_of(grains).count("Exchange") == 1
 
 
+def test_no_count_of_many_is_outside_the_error_of_its_sketch(spark):
+    """1 200 counts of 20 000 values: three standard errors of 4 096 registers do not hold all of them, the stated bound does."""
+    number = F.col("id")
+    rows = spark.range(0, 12_000_000, 1, 4).select(
+        F.lit(2000).alias("Year"), (number % 600).cast("int").alias("Month"), F.lit("x").alias("Country"), F.lit(1).alias("Lines"), F.lit(1).alias("Units"),
+        F.lit(1).alias("Revenue"), F.lit(0).alias("FirstPurchase"), F.lit(0).alias("LastPurchase"),
+        number.cast("string").alias("InvoiceNo"), F.concat(F.lit("c"), number).alias("CustomerID"),
+    )
+    outside = {}
+    for bits in (12, rollups.SKETCH_BITS):
+        months = revenue.monthly_by_invoices(rollups.sketch_rollup(rows, bits=bits)).collect()
+        outside[bits] = sum(abs(r[c] - 20_000) > 3 * 1.04 / 64 * 20_000 for r in months for c in ("TotalOrders", "TotalCustomers"))
+    assert outside[12] > 0 and outside[rollups.SKETCH_BITS] == 0
+    assert rollups.sketch_error(errors=rollups.SURE) <= 3 * 1.04 / 64
+
+
 def test_sketches_merge_to_any_level_within_their_error(spark):
     rows = spark.range(400_000).select(
         F.concat(F.lit("i"), F.col("id") % 90_000).alias("InvoiceNo"), F.concat(F.lit("c"), F.col("id") % 30_000).alias("CustomerID"),
