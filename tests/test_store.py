@@ -11,6 +11,7 @@ from tillroll.operators.positions import numbered
 from tillroll.plans.ledger import run_ledger, write_fact
 from tillroll.plans.recommendations import run_recommendations
 from tillroll.plans.segmentation import run_segmentation
+from tillroll.registry import QUERIES
 from tillroll.runtime import cut, cut_folder, file_names, scratch
 from tillroll.sources.star import star_lines
 from tillroll.sources.store import ResultStore, create_if_absent
@@ -274,3 +275,9 @@ def test_products_and_segments_are_unchanged_by_the_layout(lines, store):
     assert store.read("top_products_revenue").collect() == products.top_by_revenue(products.per_product(fact)).collect()
     expected = customers.segment_statistics(customers.rfm_by_lines(rollups.invoice_rollup(fact)))
     assert sorted(store.read("customer_segments").collect()) == sorted(expected.collect())
+
+
+def test_lines_are_joined_once_for_their_copies(spark):
+    """The copies come from rows that are there, not from a second run of the joins; they are still there to be dropped."""
+    plan = QUERIES["x8_without_exact_copies"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") <= 1 and plan.count("l_orderkey#") and plan.count("Join ") == 4 and "Generate explode" in plan

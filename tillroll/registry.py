@@ -153,7 +153,8 @@ query("x7_product_codes_only")(lambda s, d: clean.product_codes_only(_raw(s, d))
 def _without_copies(spark: SparkSession, folder: str) -> DataFrame:
     """All lines, and the larger ones a second time."""
     lines = _raw(spark, folder)
-    return clean.without_exact_copies(lines.unionByName(lines.filter("Quantity >= 25")))
+    times = F.when(F.col("Quantity") >= 25, 2).otherwise(1)
+    return clean.without_exact_copies(lines.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy"))
 
 
 # -- text files -----------------------------------------------------------------------------------------------------
