@@ -14,7 +14,7 @@ from tillroll.plans.segmentation import run_segmentation
 from tillroll.registry import QUERIES
 from tillroll.runtime import cut, cut_folder, file_names, scratch
 from tillroll.sources.star import star_lines
-from tillroll.sources.store import ResultStore, create_if_absent
+from tillroll.sources.store import ResultStore, bucket_count, create_if_absent
 
 DATA = "/root/testdata/sf0.001"
 
@@ -281,3 +281,10 @@ def test_lines_are_joined_once_for_their_copies(spark):
     """The copies come from rows that are there, not from a second run of the joins; they are still there to be dropped."""
     plan = QUERIES["x8_without_exact_copies"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lineitem") <= 1 and plan.count("l_orderkey#") and plan.count("Join ") == 4 and "Generate explode" in plan
+
+
+def test_buckets_grow_with_the_table_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr("tillroll.sources.store.ROWS_PER_BUCKET", 500)
+    frame = QUERIES["s5_bucketed_invoices"](spark, "/root/testdata/sf0.001")  # 6 000 lines
+    assert "SelectedBucketsCount: 12 out of 12" in plan_of(frame) and plan_of(frame).count("Exchange") == 0
+    assert [bucket_count(rows) for rows in (0, 4_000, 4_001)] == [8, 8, 9]

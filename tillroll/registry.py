@@ -34,7 +34,7 @@ from tillroll.runtime import cut, fresh_path
 from tillroll.schema import RAW_COLUMNS
 from tillroll.sources.lines import declare_external, read_lines, read_lines_inferred, with_times
 from tillroll.sources.star import star_lines, star_regions
-from tillroll.sources.store import ResultStore, as_view, create_if_absent, preview, table_names
+from tillroll.sources.store import ResultStore, as_view, bucket_count, create_if_absent, preview, table_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -402,8 +402,9 @@ def _warehouse_tables(spark: SparkSession, folder: str) -> DataFrame:
 def _bucketed(spark: SparkSession, folder: str) -> DataFrame:
     """The invoice table from a fact that is bucketed by invoice."""
     name = f"fact_{fresh_path(spark).rsplit('/', 1)[1]}"
+    rows = star_lines(spark, folder, ("InvoiceNo",)).count()  # read from the files' footers
     fact = create_if_absent(
-        spark, name, lambda: _ledger(spark, folder), buckets=8, bucket_by=("InvoiceNo",), sort_by=clean.LINE_KEY
+        spark, name, lambda: _ledger(spark, folder), buckets=bucket_count(rows), bucket_by=("InvoiceNo",), sort_by=clean.LINE_KEY
     )
     return rollups.invoice_transactions(fact)
 

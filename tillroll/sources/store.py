@@ -138,6 +138,14 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+ROWS_PER_BUCKET = 500_000
+
+
+def bucket_count(rows: int, least: int = 8) -> int:
+    """Buckets for a table of so many rows: a bucket is one task's work, so their number grows with the table and not their size."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def create_if_absent(
     spark: SparkSession,
     table: str,
