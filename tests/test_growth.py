@@ -1,5 +1,6 @@
 """Whole runs over large tables: what is joined, held or written more often than the work asks for."""
 
+from tillroll import registry
 from tillroll.plans import warehouse
 from tillroll.sources.star import star_lines
 
@@ -28,3 +29,14 @@ def test_warehouse_reports_read_a_written_rollup(spark, monkeypatch):
         assert made_once == [1]  # nothing is computed for tables that exist
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_lines_of_a_board_are_joined_once(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(registry, "_boards", {})
+    monkeypatch.setattr(registry, "run_segmentation", lambda raw, store: asked.append(raw))
+    monkeypatch.setattr(registry, "run_ledger", lambda raw, store: asked.append(raw))
+    registry._board(spark, DATA, "ledger", "segmentation")
+    plans = [raw._jdf.queryExecution().optimizedPlan().toString() for raw in asked]
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert sorted(asked[0].collect()) == sorted(star_lines(spark, DATA).collect())

@@ -444,16 +444,14 @@ _boards: dict[tuple[str, str, str], ResultStore] = {}
 
 
 def _board(spark: SparkSession, folder: str, *runs: str) -> Dashboard:
-    """A dashboard over results that each run writes once in an application."""
-    work = {
-        "ledger": lambda store: run_ledger(_raw(spark, folder), store),
-        "segmentation": lambda store: run_segmentation(_raw(spark, folder), store),
-    }
+    """A dashboard over results that each run writes once in an application. Lines are joined and staged once for all runs."""
+    work = {"ledger": run_ledger, "segmentation": run_segmentation}
     key = (spark.sparkContext.applicationId, folder, "+".join(runs))
     if key not in _boards:
         store = _results(spark)
+        staged = stage_lines(_raw(spark, folder), store)
         for run in runs:
-            work[run](store)
+            work[run](staged, store)
         _boards[key] = store
     return Dashboard(_boards[key])
 
