@@ -107,3 +107,10 @@ def test_runs_no_python_on_executors(spark):
     docs = spark.createDataFrame(rows_of([1, 2, 3]), "doc_id long, text string, source string")
     plan = mixing.mixed(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapInArrow|Cartesian|NestedLoop", plan)
+
+
+def test_the_mix_moves_each_text_once(spark):
+    """Rows and what is taken of them meet in one shuffle by id, source and size."""
+    docs = spark.createDataFrame(rows_of([1, 2, 3]), "doc_id long, text string, source string")
+    plan = mixing.mixed_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\((?:coalesce\()?doc_id", plan)) == 1

@@ -82,6 +82,7 @@ def targets(sources: DataFrame, share: float = SHARE, most: float = MOST, weight
 
 _ITEM = "struct<doc:{key},nth:bigint,size:bigint,p:double>"
 _DONE = "array<struct<doc:{key},nth:bigint,size:bigint,p:double>>"
+_FACTS = "struct<source_size:bigint,target:double,taken:bigint>"
 
 
 def _random(item: Column, seed: Column) -> Column:
@@ -277,20 +278,24 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "source", "text")]
     whole = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"),
+        F.struct(*docs.columns).alias("row"), "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
         F.xxhash64("text").alias("content"), F.to_json(F.struct(*rest)).alias("others") if rest else F.lit("").alias("others"),
+        F.lit(None).cast("long").alias("nth"), F.lit(None).cast(_FACTS).alias("facts"),
     )
-    numbered = whole.withColumn("nth", F.row_number().over(_window("doc_id", "source", "size").orderBy("content", "others")))
-    chosen = mixed(docs.select("doc_id", "text", "source")).where("taken > 0")
-    chosen = chosen.select(*[F.col(c).alias(f"of_{c}") for c in chosen.columns])
-    same = (
-        numbered["doc_id"].eqNullSafe(chosen["of_doc_id"]) & numbered["source"].eqNullSafe(chosen["of_source"])
-        & (numbered["size"] == chosen["of_size"]) & (numbered["nth"] == chosen["of_nth"])
+    chosen = mixed(docs.select("doc_id", "text", "source")).where("taken > 0").select(
+        F.lit(None).cast(whole.schema["row"].dataType).alias("row"), "doc_id", "source", "size", F.lit(None).cast("long").alias("content"),
+        F.lit(None).cast("string").alias("others"), "nth", F.struct("source_size", "target", "taken").alias("facts"),
     )
+    # Dealt out by the columns that rows and facts share, which both windows take as it is, so a text moves once; a join would move it again.
+    same = ("doc_id", "source", "size")
+    both = whole.unionByName(chosen).repartition(*same)
+    counted = F.row_number().over(_window(*same, "is_row").orderBy("content", "others")).cast("long")
+    both = both.withColumn("is_row", F.col("row").isNotNull()).withColumn("nth", F.when(F.col("is_row"), counted).otherwise(F.col("nth")))
+    facts = F.first("facts", ignorenulls=True).over(_window(*same, "nth"))
     added = []
     for column in ("size", "source_size", "target", "taken"):
         name = f"mix_{column}"
         while name in docs.columns:
             name += "_"
-        added.append(F.col(f"of_{column}").alias(name))
-    return numbered.join(chosen, same).select("row.*", *added)
+        added.append(F.col("size" if column == "size" else f"taken_as.{column}").alias(name))
+    return both.withColumn("taken_as", facts).where("is_row AND taken_as IS NOT NULL").select("row.*", *added)
