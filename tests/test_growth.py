@@ -1,7 +1,11 @@
 """Whole runs over large tables: what is joined, held or written more often than the work asks for."""
 
+import gzip
+from pathlib import Path
+
 from tillroll import registry
 from tillroll.plans import warehouse
+from tillroll.sources.lines import read_lines
 from tillroll.sources.star import star_lines
 
 DATA = "/root/testdata/sf0.001"
@@ -40,3 +44,10 @@ def test_lines_of_a_board_are_joined_once(spark, monkeypatch):
     plans = [raw._jdf.queryExecution().optimizedPlan().toString() for raw in asked]
     assert len(plans) == 2 and not any("Join" in p for p in plans)
     assert sorted(asked[0].collect()) == sorted(star_lines(spark, DATA).collect())
+
+
+def test_texts_are_written_compressed(spark):
+    folder = registry._texts(spark, DATA, registry.ISO_LAYOUT)
+    files = [f for f in Path(folder).iterdir() if f.name.startswith("part-")]
+    assert files and all(gzip.decompress(f.read_bytes()).startswith(b"InvoiceNo,") for f in files)
+    assert read_lines(spark, folder).count() == star_lines(spark, DATA).count()

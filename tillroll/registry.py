@@ -113,10 +113,13 @@ def _part_basket(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str, pattern: str) -> str:
-    """The raw lines as CSV files with a header and dates as text; returns their folder."""
+    """The raw lines as compressed CSV files with a header and dates as text; returns their folder.
+
+    A compressed file is one task's work when it is read. It holds what one task wrote, which adaptive execution keeps to its partition size.
+    """
     path = fresh_path(spark)
     lines = _raw(spark, folder).withColumn("InvoiceDate", F.date_format("InvoiceDate", pattern))
-    lines.write.option("header", True).csv(path)
+    lines.write.option("header", True).option("compression", "gzip").csv(path)
     return path
 
 
