@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import html
@@ -106,3 +108,50 @@ def test_articles_that_repeat_stay_whole_and_rows_are_answered_each(spark):
 
 def test_empty_table(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("repeat", [1, 3, 8])
+def test_array_is_the_sorted_order_of_suffixes(repeat):
+    dice = random.Random(repeat)
+    streams = [[dice.choice("a b c dd é".split()) for _ in range(dice.randint(1, 60))] for _ in range(30)]
+    hosts = [dice.randrange(3) for _ in streams]
+    array = html._Array(pa.array(" ".join(s) for s in streams), np.array(hosts), repeat)
+    suffixes = [(hosts[p], s[k : k + repeat], p, k) for p, s in enumerate(streams) for k in range(len(s) - repeat + 1)]
+    order = sorted(suffixes, key=lambda s: (s[0], [t.encode() for t in s[1]], *s[2:]))
+    assert list(zip(array.page.tolist(), array.at.tolist(), strict=True)) == [s[2:] for s in order]
+    equal = [[(s[0], s[1]) for s in order].index((s[0], s[1])) for s in order]
+    assert array.begin[array.run].tolist() == equal
+    assert array.held.tolist() == [len({s[2] for s in order[a:b]}) for a, b in zip(array.begin, [*array.begin[1:], len(order)], strict=True)]
+
+
+def test_hosts_in_blocks_equal_brute_force(spark):
+    """Boilerplate that about a tenth of a host's pages have is over the share in some blocks and not in others."""
+    dice = random.Random(8)
+    pages = []
+    for n in range(240):
+        own = [f"u{dice.randrange(10**6)}" for _ in range(30)]
+        shared = [f"s{k}t{i}" for k in range(8) if dice.random() < 0.06 + 0.01 * k for i in range(10)]
+        pages.append((f"http://h{min(n % 8, 1)}.example/{n}", tuple(shared + own)))
+    pages += [(f"http://h1.example/copy{n}", pages[9][1]) for n in range(60)]
+    rows = [(n, url, f"<p>{' '.join(text)}") for n, (url, text) in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expected = brute_unique([(url[8], text) for url, text in pages])
+    assert 0 < sum(text != " ".join(tokens) for text, (_, tokens) in zip(expected, pages, strict=True)) < len(pages)
+    assert html.dealt(table.selectExpr("substring(url, 9, 1) AS host", "html"), 9000).agg({"blocks": "max"}).first()[0] > 3
+    got = {r.page_id: r.text for r in html.main_text(table, shard=9000).collect()}
+    assert [got[n] for n in range(len(pages))] == expected
+
+
+def test_the_array_decides_pages_that_mark_their_article(spark):
+    """Boilerplate does not outweigh the article, and goes as an element in it; a paragraph that pages share stays."""
+    about = "this long text about the site stands on every single page of this host " * 3
+    follow = "follow us on all of the networks and never miss a story again"
+    rows = []
+    for n in range(6):
+        story = " ".join(f"w{n}x{i}" for i in range(20))
+        rows.append((n, f"http://a/{n}", f"<main><p>{story}</p></main><article>{about}</article>"))
+        rows.append((10 + n, f"http://b/{n}", f"<article><p>{story}</p><div class=x7>{follow}</div><p>{follow}</p></article><article>{about}</article>"))
+    found = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(6):
+        story = " ".join(f"w{n}x{i}" for i in range(20))
+        assert found[n] == story and found[10 + n] == f"{story} {follow}"
