@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +172,10 @@ def test_a_key_with_a_third_of_the_lines_is_split_in_the_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_lines_to_merge_are_sorted_by_invoice_before_kind(raw):
+    """A sort compares the first column first, and nearly all lines are of one kind."""
+    plan = clean.ledger_lines_counted(raw)._jdf.queryExecution().executedPlan().toString()
+    sorts = re.findall(r"Sort \[(\w+)#", plan)
+    assert sorts and set(sorts) == {"InvoiceNo"}

@@ -124,7 +124,8 @@ def ledger_lines_counted(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataF
     kind = F.when(~F.coalesce(kept, F.lit(False)), REJECTED).when(F.col("StockCode").isNull(), UNCODED).otherwise(MERGED)
     marked = raw.withColumn("Kind", kind)
     blank = marked.select("Kind", *[F.when(F.col("Kind") == MERGED, F.col(c)).alias(c) for c in raw.columns])
-    return _merged(_ledger_columns(blank, layout), ("Kind", *LINE_KEY), Lines=F.count("*"))
+    # The kind comes last: lines are sorted by key, and of almost equal kinds the first column would decide no comparison.
+    return _merged(_ledger_columns(blank, layout), (*LINE_KEY, "Kind"), Lines=F.count("*"))
 
 
 def ledger_lines(raw: DataFrame, layout: Layout = C.ISO_LAYOUT) -> DataFrame:
